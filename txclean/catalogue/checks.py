@@ -29,7 +29,7 @@ def _title(text: str) -> str:
     return (
         f"coalesce(list_aggregate(list_transform(regexp_extract_all({text}, "
         r"'[\p{L}\p{N}]+|[^\p{L}\p{N}]+'), "
-        "lambda p: upper(p[1]) || lower(p[2:])), 'string_agg', ''), " + text + ")"
+        "lambda p: CASE WHEN p[1] = 'ß' THEN 'ß' ELSE upper(p[1]) END || lower(p[2:])), 'string_agg', ''), " + text + ")"
     )
 
 

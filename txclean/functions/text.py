@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 # which starts words at spaces only, sees a word start there. Three control
 # characters in this order do not occur in names.
 _WORD_START = "\u0001\u0002\u0001 "
+# Stands for the sharp s, which has no upper case of one letter and must not
+# become "Ss" at the start of a word.
+_SHARP_S = "\u0001\u0002\u0002"
 
 
 def pg_initcap(text: Column) -> Column:
@@ -20,7 +23,10 @@ def pg_initcap(text: Column) -> Column:
     marked = F.regexp_replace(
         text, r"(?<=[^\p{L}\p{N} ])(?=[\p{L}\p{N}])", _WORD_START
     )
-    return F.replace(F.initcap(marked), F.lit(_WORD_START), F.lit(""))
+    titled = F.initcap(F.replace(marked, F.lit("ß"), F.lit(_SHARP_S)))
+    return F.replace(
+        F.replace(titled, F.lit(_WORD_START), F.lit("")), F.lit(_SHARP_S), F.lit("ß")
+    )
 
 
 def deletion_keys(text: Column) -> Column:
