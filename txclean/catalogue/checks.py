@@ -17,8 +17,8 @@ from txclean.catalogue.derived import (
 from txclean.plans import presets
 
 
-def _text(value: str | None) -> str:
-    return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
 
 
 def _list(values) -> str:
@@ -56,7 +56,7 @@ WITH lists AS (
   SELECT {_list(MERCHANT_VARIANTS)} AS merchants, {_list(CATEGORIES)} AS categories
 ), numbered AS (
   SELECT *, o_orderkey AS k,
-    merchants[CAST((o_orderkey * 7) % {len(MERCHANT_VARIANTS)} AS INT) + 1] AS m,
+    merchants[CAST((o_orderkey * 7) % {len(MERCHANT_VARIANTS) + 1} AS INT) + 1] AS m,
     categories[CAST(o_orderkey % {len(CATEGORIES)} AS INT) + 1] AS c,
     CAST(CASE WHEN o_orderkey % 997 = 0 THEN 0
               WHEN o_orderkey % 10 < 3 THEN CAST(o_totalprice AS DECIMAL(12,2))

@@ -59,11 +59,11 @@ def _variants(name: str) -> list[str]:
     ]
 
 
-MERCHANT_VARIANTS: list[str | None] = [
+MERCHANT_VARIANTS = [
     variant
     for name in [*presets.MERCHANT_SPELLINGS, *OTHER_MERCHANTS]
     for variant in _variants(name)
-] + [None]
+]
 
 
 def swapped_spellings() -> dict[str, list[str]]:
@@ -79,9 +79,9 @@ def swapped_spellings() -> dict[str, list[str]]:
     return {name: spellings(name) for name in presets.MERCHANT_SPELLINGS}
 
 
-def _pick(values: list[str | None], index: Column) -> Column:
-    """The value at a position of a fixed list; a constant array, no join."""
-    return F.get(F.array(*map(F.lit, values)), index.cast("int"))
+def _pick(values: list[str], index: Column) -> Column:
+    """The value at a position of a fixed list, null past its end; no join."""
+    return F.get(F.split(F.lit("\n".join(values)), "\n"), index.cast("int"))
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +94,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .cast("decimal(12,2)")
     )
     number = F.when(k % 1999 == 1998, k - 1).otherwise(k)
-    merchant = _pick(MERCHANT_VARIANTS, (k * 7) % len(MERCHANT_VARIANTS))
+    # One position past the end: no merchant.
+    merchant = _pick(MERCHANT_VARIANTS, (k * 7) % (len(MERCHANT_VARIANTS) + 1))
     category = _pick(CATEGORIES, k % len(CATEGORIES))
     one_day = F.expr("INTERVAL '1' DAY")
     return (

@@ -2,6 +2,7 @@
 
 from txclean.operators.audit import (
     audit_changes,
+    audit_changes_within,
     audit_duplicates,
     audit_fills,
     audit_log,
@@ -9,10 +10,13 @@ from txclean.operators.audit import (
     audit_row_changes,
     cleaning_report,
     count_changes,
+    count_changes_within,
     count_duplicates,
     count_fills,
-    count_predicate,
+    count_fills_within,
+    count_totals,
     number_entries,
+    row_groups,
     summarise_audit,
 )
 from txclean.operators.correct import (
@@ -49,6 +53,7 @@ __all__ = [
     "ConstraintViolation",
     "apply_constraints",
     "audit_changes",
+    "audit_changes_within",
     "audit_duplicates",
     "audit_fills",
     "audit_log",
@@ -64,9 +69,11 @@ __all__ = [
     "correct_from_dictionary",
     "correction_map",
     "count_changes",
+    "count_changes_within",
     "count_duplicates",
     "count_fills",
-    "count_predicate",
+    "count_fills_within",
+    "count_totals",
     "deduplicate",
     "dictionary_matches",
     "duplicates",
@@ -81,6 +88,7 @@ __all__ = [
     "relabel_when",
     "repeat_rows",
     "row_counts",
+    "row_groups",
     "sample_rows",
     "standardise_text",
     "summarise_audit",

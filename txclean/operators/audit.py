@@ -42,6 +42,10 @@ class Note(NamedTuple):
     reason: str
 
 
+# Per column: the column with the old value, the one with the new value, the note.
+Changes = Sequence[tuple[str, str, Note]]
+
+
 def _product(left: str, right: str) -> Column:
     return (
         F.col(left).cast("decimal(19,0)") * F.col(right).cast("decimal(19,0)")
@@ -60,22 +64,13 @@ def _entry(df: DataFrame, key: str, note: Note, old: Column, new: Column, entrie
     )
 
 
-def _total(df: DataFrame, note: Note, total: Column) -> DataFrame:
-    return (
-        df.agg(total.cast(COUNT).alias("number_of_changes"))
-        .where("number_of_changes > 0")
-        .select(
-            F.lit(note.column).alias("column_changed"),
-            F.lit(note.stage).alias("change_stage"),
-            F.lit(note.reason).alias("change_reason"),
-            "number_of_changes",
-        )
-    )
+# What changed is told from counts (by, value, before, after): how many rows hold
+# the value before and how many after, for each value of the `by` columns.
 
 
-def _value_counts(before: DataFrame, after: DataFrame, key: str, col: str) -> DataFrame:
-    """Rows per key and value: how many before, how many after."""
-
+def _counts_of_stages(
+    before: DataFrame, after: DataFrame, key: str, col: str
+) -> DataFrame:
     def side(df: DataFrame, in_before: int) -> DataFrame:
         return df.where(F.col(key).isNotNull()).select(
             F.col(key).alias("key"),
@@ -92,14 +87,62 @@ def _value_counts(before: DataFrame, after: DataFrame, key: str, col: str) -> Da
     )
 
 
+def _counts_of_rows(df: DataFrame, key: str, changes: Changes) -> DataFrame:
+    """Both stages of all columns in one scan; `change` is the place in `changes`."""
+
+    def value(change: int, col: str, before: Column, after: Column) -> Column:
+        return F.struct(
+            F.lit(change).alias("change"),
+            F.col(col).cast("string").alias("value"),
+            before.cast("long").alias("before"),
+            after.cast("long").alias("after"),
+        )
+
+    values = []
+    for change, (old, new, _) in enumerate(changes):
+        same = F.col(old).eqNullSafe(F.col(new))
+        values += [
+            value(change, old, F.lit(1), same),
+            value(change, new, F.lit(0), ~same),
+        ]
+    return (
+        df.where(F.col(key).isNotNull())
+        .select(F.col(key).alias("key"), F.inline(F.array(*values)))
+        .where("before + after > 0")
+        .groupBy("change", "key", "value")
+        .agg(F.sum("before").alias("before"), F.sum("after").alias("after"))
+    )
+
+
+def _changed_pairs(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Pairs of different values under one key, each pair once."""
+    old = counts.where("before > 0").select(*by, F.col("value").alias("old"), "before")
+    new = counts.where("after > 0").select(*by, F.col("value").alias("new"), "after")
+    return old.join(new, list(by)).where(~F.col("old").eqNullSafe(F.col("new")))
+
+
+def _changes_per_key(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """How many pairs of rows differ: all pairs less the equal ones."""
+    return (
+        counts.groupBy(*by)
+        .agg(
+            F.sum("before").alias("before"),
+            F.sum("after").alias("after"),
+            F.sum(_product("before", "after")).alias("equal"),
+        )
+        .withColumn("changes", _product("before", "after") - F.col("equal"))
+    )
+
+
+def _notes(changes: Changes, field: str) -> Column:
+    return F.get(F.array(*(F.lit(getattr(note, field)) for _, _, note in changes)), F.col("change"))
+
+
 def audit_changes(
     before: DataFrame, after: DataFrame, key: str, col: str, note: Note
 ) -> DataFrame:
     """Entries for every pair of rows with equal key and different value."""
-    counts = _value_counts(before, after, key, col)
-    old = counts.where("before > 0").select("key", F.col("value").alias("old"), "before")
-    new = counts.where("after > 0").select("key", F.col("value").alias("new"), "after")
-    changed = old.join(new, "key").where(~F.col("old").eqNullSafe(F.col("new")))
+    changed = _changed_pairs(_counts_of_stages(before, after, key, col), ["key"])
     return _entry(
         changed, "key", note, F.col("old"), F.col("new"), _product("before", "after")
     )
@@ -108,17 +151,40 @@ def audit_changes(
 def count_changes(
     before: DataFrame, after: DataFrame, key: str, col: str, note: Note
 ) -> DataFrame:
-    """Number of entries of `audit_changes`: all pairs less the equal ones."""
-    per_key = (
-        _value_counts(before, after, key, col)
-        .groupBy("key")
-        .agg(
-            F.sum("before").alias("before"),
-            F.sum("after").alias("after"),
-            F.sum(_product("before", "after")).alias("equal"),
+    """Number of entries of `audit_changes`."""
+    per_key = _changes_per_key(_counts_of_stages(before, after, key, col), ["key"])
+    return count_totals(per_key, [(F.sum("changes"), note)])
+
+
+def audit_changes_within(df: DataFrame, key: str, changes: Changes) -> DataFrame:
+    """`audit_changes` of several columns at once, where one stage comes from the
+    other row by row and `df` holds the values of both."""
+    changed = _changed_pairs(_counts_of_rows(df, key, changes), ["change", "key"])
+    return changed.select(
+        F.col("key").alias("transaction_id"),
+        _notes(changes, "column").alias("column_changed"),
+        F.col("old").alias("old_value"),
+        F.col("new").alias("new_value"),
+        _notes(changes, "stage").alias("change_stage"),
+        _notes(changes, "reason").alias("change_reason"),
+        _product("before", "after").alias("entries"),
+    )
+
+
+def count_changes_within(df: DataFrame, key: str, changes: Changes) -> DataFrame:
+    """Number of entries of `audit_changes_within` per column."""
+    return (
+        _changes_per_key(_counts_of_rows(df, key, changes), ["change", "key"])
+        .groupBy("change")
+        .agg(F.sum("changes").cast(COUNT).alias("number_of_changes"))
+        .where("number_of_changes > 0")
+        .select(
+            _notes(changes, "column").alias("column_changed"),
+            _notes(changes, "stage").alias("change_stage"),
+            _notes(changes, "reason").alias("change_reason"),
+            "number_of_changes",
         )
     )
-    return _total(per_key, note, F.sum(_product("before", "after") - F.col("equal")))
 
 
 def audit_fills(
@@ -161,7 +227,22 @@ def count_fills(
         .groupBy("key")
         .agg(F.sum("before").alias("before"), F.sum("after").alias("after"))
     )
-    return _total(per_key, note, F.sum(_product("before", "after")))
+    return count_totals(per_key, [(F.sum(_product("before", "after")), note)])
+
+
+def count_fills_within(
+    groups: DataFrame, key: str, old: str, new: str, copies: str, note: Note
+) -> DataFrame:
+    """`count_fills` from groups of equal rows: `copies` of each are in the stage
+    before, with `old`, and one in the stage after, with `new`."""
+    per_key = groups.groupBy(key).agg(
+        F.sum(F.when(F.col(old).isNull(), F.col(copies)).otherwise(0)).alias("before"),
+        F.count(new).alias("after"),
+    )
+    # A condition inside the sum, not a filter, which would be pushed below the
+    # groups and keep other counts of the same groups from sharing their shuffle.
+    fills = F.when(F.col(key).isNotNull(), _product("before", "after"))
+    return count_totals(per_key, [(F.sum(fills), note)])
 
 
 def audit_duplicates(
@@ -169,18 +250,21 @@ def audit_duplicates(
 ) -> DataFrame:
     """One entry per row `deduplicate` removes, counted per transaction id."""
     removed = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__copies"))
-        .where("__copies > 1")
+        row_groups(df, keys)
+        .where("copies > 1")
         .groupBy(key)
-        .agg(F.sum(F.col("__copies") - 1).alias("__removed"))
+        .agg(F.sum(F.col("copies") - 1).alias("removed"))
     )
-    return _entry(removed, key, note, F.lit(old), F.lit(new), F.col("__removed"))
+    return _entry(removed, key, note, F.lit(old), F.lit(new), F.col("removed"))
 
 
 def count_duplicates(df: DataFrame, keys: Sequence[str], note: Note) -> DataFrame:
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies"))
-    return _total(groups, note, F.sum(F.col("__copies") - 1))
+    return count_totals(row_groups(df, keys), [(F.sum(F.col("copies") - 1), note)])
+
+
+def row_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct values of the keys with their number of rows in `copies`."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
 
 
 def audit_predicate(
@@ -190,16 +274,26 @@ def audit_predicate(
     return _entry(df.where(predicate), key, note, old, new, F.lit(1))
 
 
-def count_predicate(df: DataFrame, predicate: Column, note: Note) -> DataFrame:
-    return _total(df.where(predicate), note, F.count(F.lit(1)))
+def count_totals(df: DataFrame, totals: Sequence[tuple[Column, Note]]) -> DataFrame:
+    """Several counts over the same rows, in one scan; zero and null drop out."""
+    counts = df.agg(*(total.cast(COUNT).alias(f"c{i}") for i, (total, _) in enumerate(totals)))
+    rows = F.array(
+        *(
+            F.struct(
+                F.lit(note.column).alias("column_changed"),
+                F.lit(note.stage).alias("change_stage"),
+                F.lit(note.reason).alias("change_reason"),
+                F.col(f"c{i}").alias("number_of_changes"),
+            )
+            for i, (_, note) in enumerate(totals)
+        )
+    )
+    return counts.select(F.inline(rows)).where("number_of_changes > 0")
 
 
-def audit_row_changes(
-    df: DataFrame, key: str, changes: Sequence[tuple[str, str, Note]]
-) -> DataFrame:
+def audit_row_changes(df: DataFrame, key: str, changes: Changes) -> DataFrame:
     """One entry per row and changed column, from rows which hold both values.
 
-    `changes` lists (column with the old value, column with the new one, note).
     Nothing is joined or shuffled, and copies do not multiply entries.
     """
     entries = F.array(

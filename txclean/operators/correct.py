@@ -50,16 +50,21 @@ def correction_map(
 
 
 def correct_from_dictionary(
-    df: DataFrame, col: str, dictionary: DataFrame, max_len_diff: int = 2
+    df: DataFrame,
+    col: str,
+    dictionary: DataFrame,
+    max_len_diff: int = 2,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """Replace names by their dictionary entry; rows are never multiplied.
 
     The map of changed names is worked out first and kept as a shared table, so
     that its size is known when the join with the full data is planned and no
-    later use of the result repeats the matching.
+    later use of the result repeats the matching. `names`, if given, is a shorter
+    frame in which `col` has all the names of `df`.
     """
     changes = shared_table(
-        correction_map(df, col, dictionary, max_len_diff)
+        correction_map(df if names is None else names, col, dictionary, max_len_diff)
         .where("name <> clean_name")
         .withColumnsRenamed({"name": "__name", "clean_name": "__clean_name"}),
         "corrections",

@@ -12,32 +12,23 @@ from pyspark.sql import functions as F
 Rules = Sequence[tuple[Sequence[str], str]]
 
 
-def keyword_label(text: Column, rules: Rules) -> Column:
+def classify_keywords(
+    df: DataFrame, col: str, rules: Rules, out: str | None = None
+) -> DataFrame:
     """Label of the first rule one of whose keywords occurs in the text.
 
     Keywords are matched anywhere, ignoring case; text which no rule claims
     stays as it is, casing included.
     """
-    lowered = F.lower(text)
-    hits = [
-        (reduce(or_, (lowered.contains(word.lower()) for word in words)), label)
-        for words, label in rules
-    ]
-    if not hits:
-        return text
-    first, *rest = hits
-    labelled = reduce(
-        lambda chain, hit: chain.when(hit[0], F.lit(hit[1])),
-        rest,
-        F.when(first[0], F.lit(first[1])),
-    )
-    return labelled.otherwise(text)
-
-
-def classify_keywords(
-    df: DataFrame, col: str, rules: Rules, out: str | None = None
-) -> DataFrame:
-    return df.withColumn(out or col, keyword_label(F.col(col), rules))
+    # A column of its own, so that the text is lowered once per row and not once
+    # per keyword.
+    lowered = df.withColumn("__lowered", F.lower(col))
+    label = F
+    for words, name in rules:
+        hit = reduce(or_, (F.col("__lowered").contains(word.lower()) for word in words))
+        label = label.when(hit, F.lit(name))
+    label = F.col(col) if label is F else label.otherwise(F.col(col))
+    return lowered.withColumn(out or col, label).drop("__lowered")
 
 
 def relabel_when(df: DataFrame, col: str, condition: Column, label: str) -> DataFrame:

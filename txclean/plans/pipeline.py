@@ -21,7 +21,12 @@ from txclean.sources.files import write_relations
 
 @dataclass(frozen=True)
 class CleaningConfig:
-    """Columns, rules and reference data of a run."""
+    """Columns, rules and reference data of a run.
+
+    Rows equal on `keys` are copies of each other. Merchant and category, which
+    cleaning changes before copies are removed, are not among the keys; the other
+    columns the audit reads are.
+    """
 
     keys: Sequence[str]
     dictionary: DataFrame
@@ -40,6 +45,21 @@ class CleaningConfig:
     precision: Mapping[str, str] = field(default_factory=dict)
     redundant: Sequence[str] = ()
 
+    def __post_init__(self) -> None:
+        read = {
+            self.id,
+            self.booking,
+            self.instructed,
+            self.amount,
+            self.currency,
+            self.original_currency,
+            self.rate,
+        }
+        if missing := read - set(self.keys):
+            raise ValueError(f"keys lack {sorted(missing)}")
+        if cleaned := {self.merchant, self.category} & set(self.keys):
+            raise ValueError(f"keys contain {sorted(cleaned)}")
+
     @property
     def tiebreak(self) -> list[str]:
         return [self.id, self.merchant, self.category]
@@ -113,7 +133,13 @@ def standardise(raw: DataFrame, config: CleaningConfig) -> DataFrame:
         df, trim=[config.merchant, config.category], titlecase=[config.merchant]
     )
     df = classify_keywords(df, config.category, config.rules)
-    return correct_from_dictionary(df, config.merchant, config.dictionary)
+    # Names are few beside rows, so each is put in shape once for the matching.
+    names = standardise_text(
+        raw.select(config.merchant).distinct(),
+        trim=[config.merchant],
+        titlecase=[config.merchant],
+    )
+    return correct_from_dictionary(df, config.merchant, config.dictionary, names=names)
 
 
 def finish(deduped: DataFrame, config: CleaningConfig) -> DataFrame:
@@ -144,6 +170,7 @@ def clean(raw: DataFrame, config: CleaningConfig) -> CleaningResult:
     return CleaningResult(
         raw=raw,
         traced=traced,
+        keyed=fix_precision(raw, config.precision),
         staging=staging,
         deduped=deduped,
         final=finish(deduped, config),
@@ -153,10 +180,16 @@ def clean(raw: DataFrame, config: CleaningConfig) -> CleaningResult:
 
 @dataclass(frozen=True)
 class CleaningResult:
-    """The stages of a run. `traced` is staging with its raw names and categories."""
+    """The stages of a run.
+
+    `traced` is staging with its raw merchants and categories. `keyed` has the key
+    columns of staging and is read where nothing else is needed, which spares the
+    name matching.
+    """
 
     raw: DataFrame
     traced: DataFrame
+    keyed: DataFrame
     staging: DataFrame
     deduped: DataFrame
     final: DataFrame
@@ -178,6 +211,7 @@ class CleaningResult:
         return replace(
             self,
             traced=traced,
+            keyed=staging,
             staging=staging,
             deduped=deduped,
             final=spark.read.parquet(f"{base}/final"),
@@ -211,14 +245,22 @@ class CleaningResult:
         c = self.config
         return audit.audit_changes(self.raw, self.staging, c.id, c.category, presets.CATEGORY_NOTE)
 
+    def _survivors(self) -> DataFrame:
+        """Key columns of the final rows, for which it does not matter which of the
+        copies has survived."""
+        c = self.config
+        return fill_from(self.keyed.select(*c.keys).distinct(), c.amount, c.instructed)
+
     def audit_fills(self) -> DataFrame:
         c = self.config
-        return audit.audit_fills(self.staging, self.final, c.id, c.amount, presets.FILL_NOTE)
+        return audit.audit_fills(
+            self.keyed, self._survivors(), c.id, c.amount, presets.FILL_NOTE
+        )
 
     def audit_duplicates(self) -> DataFrame:
         c = self.config
         return audit.audit_duplicates(
-            self.staging, c.keys, c.id, presets.DUPLICATE_OLD, presets.DUPLICATE_NEW, presets.DUPLICATE_NOTE
+            self.keyed, c.keys, c.id, presets.DUPLICATE_OLD, presets.DUPLICATE_NEW, presets.DUPLICATE_NOTE
         )
 
     def audit_rates(self) -> DataFrame:
@@ -226,19 +268,18 @@ class CleaningResult:
         which break it are the violations of the `exchange_rate_logic` check."""
         c = self.config
         return audit.audit_predicate(
-            self.final, c.rate_rule, c.id, F.lit(None), F.col(c.rate), presets.RATE_NOTE
+            self._survivors(), c.rate_rule, c.id, F.lit(None), F.col(c.rate), presets.RATE_NOTE
         )
 
     def audit_dates(self) -> DataFrame:
         c = self.config
         return audit.audit_predicate(
-            self.final, ~c.before_cutoff(c.booking), c.id, F.col(c.booking), F.lit(None), presets.DATE_NOTE
+            self._survivors(), ~c.before_cutoff(c.booking), c.id, F.col(c.booking), F.lit(None), presets.DATE_NOTE
         )
 
     def audit_log(self) -> DataFrame:
         return audit.audit_log(
-            self.audit_merchant(),
-            self.audit_category(),
+            audit.audit_changes_within(self.traced, self.config.id, self._text_changes()),
             self.audit_fills(),
             self.audit_duplicates(),
             self.audit_rates(),
@@ -247,23 +288,21 @@ class CleaningResult:
 
     # The same log with one entry per row which changed.
 
+    def _text_changes(self) -> audit.Changes:
+        c = self.config
+        return [
+            (f"__before_{c.merchant}", c.merchant, presets.MERCHANT_NOTE),
+            (f"__before_{c.category}", c.category, presets.CATEGORY_NOTE),
+        ]
+
     def row_changes(self) -> DataFrame:
         """Merchants and categories, in one scan without a shuffle."""
-        c = self.config
-        return audit.audit_row_changes(
-            self.traced,
-            c.id,
-            [
-                (f"__before_{c.merchant}", c.merchant, presets.MERCHANT_NOTE),
-                (f"__before_{c.category}", c.category, presets.CATEGORY_NOTE),
-            ],
-        )
+        return audit.audit_row_changes(self.traced, self.config.id, self._text_changes())
 
     def row_fills(self) -> DataFrame:
         c = self.config
-        filled = fill_from(
-            self.deduped.withColumn("__before", F.col(c.amount)), c.amount, c.instructed
-        )
+        before = self.keyed.select(*c.keys, F.col(c.amount).alias("__before")).distinct()
+        filled = fill_from(before, c.amount, c.instructed)
         return audit.audit_row_changes(
             filled, c.id, [("__before", c.amount, presets.FILL_NOTE)]
         )
@@ -281,13 +320,24 @@ class CleaningResult:
 
     def summary(self) -> DataFrame:
         c = self.config
+        groups = fill_from(
+            audit.row_groups(self.keyed, c.keys).withColumn("__before", F.col(c.amount)),
+            c.amount,
+            c.instructed,
+        )
         return audit.audit_log(
-            audit.count_changes(self.raw, self.staging, c.id, c.merchant, presets.MERCHANT_NOTE),
-            audit.count_changes(self.raw, self.staging, c.id, c.category, presets.CATEGORY_NOTE),
-            audit.count_fills(self.staging, self.final, c.id, c.amount, presets.FILL_NOTE),
-            audit.count_duplicates(self.staging, c.keys, presets.DUPLICATE_NOTE),
-            audit.count_predicate(self.final, c.rate_rule, presets.RATE_NOTE),
-            audit.count_predicate(self.final, ~c.before_cutoff(c.booking), presets.DATE_NOTE),
+            audit.count_changes_within(self.traced, c.id, self._text_changes()),
+            audit.count_fills_within(
+                groups, c.id, "__before", c.amount, "copies", presets.FILL_NOTE
+            ),
+            audit.count_totals(
+                groups,
+                [
+                    (F.sum(F.col("copies") - 1), presets.DUPLICATE_NOTE),
+                    (F.count_if(c.rate_rule), presets.RATE_NOTE),
+                    (F.count_if(~c.before_cutoff(c.booking)), presets.DATE_NOTE),
+                ],
+            ),
         )
 
     def report(self) -> DataFrame:
