@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tests.test_correct import setting
 from txclean.operators import deduplicate, dedup, duplicates, repeat_rows, with_row_num
 
 ROWS = [
@@ -29,8 +30,11 @@ def bag(df):
     return Counter(map(tuple, df.collect()))
 
 
-def test_numbers_follow_the_tiebreak(rows):
-    got = bag(with_row_num(rows, ["k", "n"], ["v"]))
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_numbers_follow_the_tiebreak(spark, rows, coalesce):
+    # Without coalescing, groups lie across the slices of the range partitioning.
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", coalesce):
+        got = bag(with_row_num(rows, ["k", "n"], ["v"]))
     groups: dict = {}
     for row in sorted(ROWS, key=lambda r: (r[2] is not None, r[2] or "")):
         groups.setdefault(row[:2], []).append(row)

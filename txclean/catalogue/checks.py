@@ -260,6 +260,9 @@ def oracle_sql() -> dict[str, str]:
     )
     on_run = {
         "raw_transactions": "SELECT * FROM raw",
+        "csv_ingest": "SELECT * FROM raw",
+        "relations_written": "SELECT * FROM (SELECT account_id, merchant_name, count(*) AS merchant_rows FROM raw GROUP BY ALL)"
+        " JOIN (SELECT account_id, count(*) AS rows FROM raw GROUP BY ALL) USING (account_id)",
         "trim_initcap_merchant": "SELECT transaction_id, merchant_name, category FROM trimmed",
         "classify_category": f"SELECT category, {_case('category')} AS label, count(*) AS rows FROM trimmed GROUP BY ALL",
         "merchant_fuzzy_blocked": "SELECT * FROM matches",
@@ -285,6 +288,7 @@ def oracle_sql() -> dict[str, str]:
         "check_length_merchant": "SELECT transaction_id, merchant_name FROM staging"
         " WHERE NOT (length(rtrim(merchant_name, ' ')) <= 12)",
         "merchant_null_violations": "SELECT transaction_id, merchant_name FROM final WHERE merchant_name IS NULL",
+        "check_currency_codes": "SELECT transaction_id, currency FROM final WHERE NOT (currency IN ('GBP', 'EUR'))",
         "constraint_report": counts,
         "constraints_quarantine": _over_final(
             f"SELECT * FROM (SELECT * EXCLUDE (repeats), {_FAILED} AS failed FROM {{final}}) WHERE failed <> ''"
@@ -306,6 +310,9 @@ def oracle_sql() -> dict[str, str]:
         "audit_exchange_rate": _AUDIT_RATES,
         "audit_future_dates": _AUDIT_DATES,
         "audit_log": _LOG,
+        "audit_log_ids": "SELECT count(*) AS rows, count(*) AS ids, CAST(1 AS DECIMAL(38,0)) AS first_id,"
+        " CAST(sum(entries) AS DECIMAL(38,0)) AS last_id FROM (SELECT transaction_id, column_changed, old_value,"
+        f" new_value, sum(entries) AS entries FROM ({_LOG}) GROUP BY ALL)",
         "audit_lineage": _LINEAGE,
         "audit_summary_of_log": _summary(_LOG),
         "audit_summary_of_lineage": _summary(_LINEAGE),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from txclean.catalogue import derived
 from txclean.functions import parse_mixed_timestamp
 from txclean.operators import (
     apply_constraints,
+    check_in_set,
     check_length,
     check_not_null,
     check_unique,
@@ -25,6 +27,7 @@ from txclean.operators import (
     fix_precision,
     inject_copies,
     label_profile,
+    number_entries,
     relabel_when,
     sample_rows,
     standardise_text,
@@ -35,7 +38,8 @@ from txclean.operators import (
 )
 from txclean.plans import presets
 from txclean.plans.pipeline import CleaningResult, clean, dictionary_from
-from txclean.sources import conform
+from txclean.plans.shared import shared_folder
+from txclean.sources import conform, read_transactions, write_relations
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +92,48 @@ def conform_columns(spark, sf_dir):
     )
 
 
+def _scratch(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/txclean/{label}-{uuid.uuid4().hex}"
+
+
+@query
+def csv_ingest(spark, sf_dir):
+    """The raw rows written as CSV and read with types and declared lengths."""
+    raw = derived.raw_transactions(spark, sf_dir)
+    path = _scratch(spark, "csv")
+    (
+        raw.write.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    return read_transactions(
+        spark, path, raw.schema, lengths={"account_id": 4, "currency": 3, "merchant_name": 50}
+    )
+
+
+@query
+def relations_written(spark, sf_dir):
+    """Accounts and merchants as relations of their own, read back and joined."""
+    raw = derived.raw_transactions(spark, sf_dir)
+    path = _scratch(spark, "relations")
+    write_relations(
+        {
+            "accounts": raw.groupBy("account_id").agg(F.count(F.lit(1)).alias("rows")),
+            "merchants": raw.groupBy("account_id", "merchant_name").agg(
+                F.count(F.lit(1)).alias("merchant_rows")
+            ),
+        },
+        path,
+    )
+    return enrich(
+        spark.read.parquet(f"{path}/merchants"),
+        spark.read.parquet(f"{path}/accounts"),
+        "account_id",
+    )
+
+
 # Text, precision, categories
 
 
@@ -259,6 +305,15 @@ def check_length_merchant(spark, sf_dir):
     )
 
 
+@query
+def check_currency_codes(spark, sf_dir):
+    return (
+        check_in_set("currency", ["GBP", "EUR"])
+        .violations(_run(spark, sf_dir).final)
+        .select("transaction_id", "currency")
+    )
+
+
 @query
 def constraint_report(spark, sf_dir):
     run = _run(spark, sf_dir)
@@ -357,6 +412,18 @@ def audit_log(spark, sf_dir):
     return _run(spark, sf_dir).audit_log()
 
 
+@query
+def audit_log_ids(spark, sf_dir):
+    """Number of different entries, of their ids, and the first and last id."""
+    log = number_entries(_run(spark, sf_dir).audit_log())
+    return log.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct("log_id").alias("ids"),
+        F.min("log_id").alias("first_id"),
+        F.max(F.col("log_id") + F.col("entries") - 1).cast("decimal(38,0)").alias("last_id"),
+    )
+
+
 @query
 def audit_lineage(spark, sf_dir):
     return _run(spark, sf_dir).audit_lineage()
