@@ -82,3 +82,40 @@ def test_known_counts(run):
     assert staging.where("merchant_name is not null").count() == 15_694
     assert staging.select("merchant_name").where("merchant_name is not null").distinct().count() == 166
     assert staging.select("category").distinct().count() == 25
+
+
+def test_row_wise_operators_take_streams(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from txclean.operators import (
+        check,
+        classify_keywords,
+        fill_from,
+        relabel_when,
+        standardise_text,
+    )
+    from txclean.plans import presets
+
+    rows = [(" nando's ", "Retail", None, 5), ("x", "Income", -1, -1), ("y", "Income", 0, 0)]
+    batch = spark.createDataFrame(rows, "name string, category string, amount int, instructed int")
+    batch.write.parquet(f"{tmp_path}/in")
+
+    def cleaned(df):
+        df = standardise_text(df, trim=["name"], titlecase=["name"])
+        df = classify_keywords(df, "category", presets.CATEGORY_RULES)
+        df = fill_from(df, "amount", "instructed")
+        df = relabel_when(df, "category", F.col("amount") < 0, "Reversal")
+        return df.where(check("nonzero", F.col("amount") != 0).predicate)
+
+    stream = cleaned(spark.readStream.schema(batch.schema).parquet(f"{tmp_path}/in"))
+    query = (
+        stream.writeStream.format("parquet")
+        .option("path", f"{tmp_path}/out")
+        .option("checkpointLocation", f"{tmp_path}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination(120)
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(out.collect()) == sorted(cleaned(batch).collect())
+    assert out.count() == 2

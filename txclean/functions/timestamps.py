@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -18,19 +19,39 @@ MIXED_LAYOUTS = (
 )
 
 
+def _shape(layout: str) -> str:
+    """Regular expression of the texts a layout can read."""
+
+    def part(run: re.Match) -> str:
+        letters = run[0]
+        if not letters[0].isalpha():
+            return re.escape(letters)
+        if letters[0] == "a" or len(letters) > 2 and letters[0] == "M":
+            return r"\p{L}+"
+        return rf"\d{{{len(letters)}}}"
+
+    return "^" + re.sub(r"([A-Za-z])\1*|[^A-Za-z]+", part, layout) + "$"
+
+
 def parse_mixed_timestamp(
     text: Column, layouts: Sequence[str] = MIXED_LAYOUTS
 ) -> Column:
     """First layout that fits wins; text which fits none, and null, give null.
 
-    The result is a TIMESTAMP_NTZ. The text is read as UTC and turned back into
+    The result is a TIMESTAMP_NTZ. A layout is tried on texts of its shape only,
+    since a failed attempt costs far more than the look at the shape. The text is read as UTC and turned back into
     a wall-clock time by adding seconds to the epoch, so the session time zone
     and its daylight-saving gaps play no part.
     """
     seconds = F.coalesce(
         *(
-            F.unix_seconds(
-                F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{layout} xx"))
+            F.when(
+                text.rlike(_shape(layout)),
+                F.unix_seconds(
+                    F.try_to_timestamp(
+                        F.concat(text, F.lit(" +0000")), F.lit(f"{layout} xx")
+                    )
+                ),
             )
             for layout in layouts
         )
