@@ -2,9 +2,10 @@
 
 A group of copies may hold a large share of the table, so nothing here sends
 such a group to one task. Keeping one row uses a window with a group limit,
-which Spark applies before the shuffle. Numbering and listing first count equal
-rows, with partial counts before the shuffle, and write the copies out again
-only at the end, in pieces spread over all tasks.
+which Spark applies before the shuffle. Numbering and listing set aside the rows
+which have no copy, count equal rows among the others, with partial counts before
+the shuffle, and write the copies out again only at the end, in pieces spread
+over all tasks.
 """
 
 from __future__ import annotations
@@ -42,16 +43,23 @@ def with_row_num(
     df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] = (), out: str = "row_num"
 ) -> DataFrame:
     """Number the rows of each group equal on `keys` from 1, in `tiebreak` order."""
-    runs = _numbered_runs(df, keys, tiebreak)
+    hashed, repeated = _repeated_hashes(df, keys)
+    single = hashed.join(repeated, "__hash", "left_anti").select(
+        *df.columns, F.lit(1).cast("long").alias(out)
+    )
+    others = hashed.join(repeated, "__hash", "left_semi").select(*df.columns)
+    runs = _numbered_runs(others, keys, tiebreak)
     first = F.col("__last") - F.col("__copies") + 1
-    return _write_out(runs, first, df.columns, out)
+    return single.unionByName(_write_out(runs, first, df.columns, out))
 
 
 def duplicates(
     df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] = (), out: str = "row_num"
 ) -> DataFrame:
     """The rows `deduplicate` removes, with their number (2 and up)."""
-    runs = _numbered_runs(df, keys, tiebreak).where("__last > 1")
+    hashed, repeated = _repeated_hashes(df, keys)
+    others = hashed.join(repeated, "__hash", "left_semi").select(*df.columns)
+    runs = _numbered_runs(others, keys, tiebreak).where("__last > 1")
     first = F.greatest(F.col("__last") - F.col("__copies") + 1, F.lit(2))
     return _write_out(runs, first, df.columns, out)
 
@@ -77,6 +85,26 @@ def repeat_rows(df: DataFrame, times: Column, number: str | None = None) -> Data
     return copies.withColumnRenamed("__number", number) if number else copies.drop("__number")
 
 
+def _repeated_hashes(
+    df: DataFrame, keys: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with a hash of their keys, and the hashes of more than one row.
+
+    Equal keys have equal hashes, so a row whose hash is its own has no copy, and
+    need not be moved however wide it is. Rows which share a hash are not taken for
+    copies; that is left to the keys themselves.
+    """
+    hashed = df.withColumn("__hash", F.xxhash64(*keys))
+    repeated = shared_table(
+        hashed.groupBy("__hash")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where("rows > 1")
+        .select("__hash"),
+        "hashes",
+    )
+    return hashed, repeated
+
+
 def _numbered_runs(
     df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str]
 ) -> DataFrame:

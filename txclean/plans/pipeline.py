@@ -232,7 +232,11 @@ class CleaningResult:
         self, policy: str = "quarantine", existing: DataFrame | None = None
     ) -> quality.Enforced:
         return quality.apply_constraints(
-            self.final, self.config.constraints, policy, existing
+            self.final,
+            self.config.constraints,
+            policy,
+            existing,
+            key_rows=self._survivors(),
         )
 
     # Log branches, stages compared through the transaction id.
