@@ -20,15 +20,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LOG_COLUMNS = (
-    "transaction_id",
-    "column_changed",
-    "old_value",
-    "new_value",
-    "change_stage",
-    "change_reason",
-    "entries",
-)
+from txclean.operators.dedup import repeated_hashes, with_key_hash
+
 SUMMARY_KEYS = ("column_changed", "change_stage", "change_reason")
 # Products of two row counts outgrow 64 bits.
 COUNT = "decimal(38,0)"
@@ -87,30 +80,49 @@ def _counts_of_stages(
     )
 
 
-def _counts_of_rows(df: DataFrame, key: str, changes: Changes) -> DataFrame:
-    """Both stages of all columns in one scan; `change` is the place in `changes`."""
+def _with_shared_flag(df: DataFrame, key: str, key_rows: DataFrame | None) -> DataFrame:
+    """Rows with a key; `__shared` tells whether another row may have the same one."""
+    present = F.col(key).isNotNull()
+    repeated = repeated_hashes((df if key_rows is None else key_rows).where(present), [key])
+    return (
+        with_key_hash(df.where(present), [key])
+        .join(repeated.withColumn("__shared", F.lit(True)), "__hash", "left")
+        .withColumn("__shared", F.coalesce("__shared", F.lit(False)))
+    )
+
+
+def _counts_of_rows(flagged: DataFrame, key: str, changes: Changes) -> DataFrame:
+    """Both stages of all columns in one scan; `change` is the place in `changes`.
+
+    Rows which do not share their key are told by themselves whether they changed.
+    They are counted in `alone` under a null key, and so go to almost nothing before
+    the shuffle.
+    """
+    shared = F.col("__shared")
 
-    def value(change: int, col: str, before: Column, after: Column) -> Column:
+    def value(change: int, col: str, before: Column, after: Column, alone: Column) -> Column:
         return F.struct(
             F.lit(change).alias("change"),
-            F.col(col).cast("string").alias("value"),
-            before.cast("long").alias("before"),
-            after.cast("long").alias("after"),
+            F.when(shared, F.col(key)).alias("key"),
+            F.when(shared, F.col(col).cast("string")).alias("value"),
+            (shared & before).cast("long").alias("before"),
+            (shared & after).cast("long").alias("after"),
+            (~shared & alone).cast("long").alias("alone"),
         )
 
+    yes, no = F.lit(True), F.lit(False)
     values = []
     for change, (old, new, _) in enumerate(changes):
         same = F.col(old).eqNullSafe(F.col(new))
         values += [
-            value(change, old, F.lit(1), same),
-            value(change, new, F.lit(0), ~same),
+            value(change, old, yes, same, ~same),
+            value(change, new, no, ~same, no),
         ]
     return (
-        df.where(F.col(key).isNotNull())
-        .select(F.col(key).alias("key"), F.inline(F.array(*values)))
-        .where("before + after > 0")
+        flagged.select(F.inline(F.array(*values)))
+        .where("before + after + alone > 0")
         .groupBy("change", "key", "value")
-        .agg(F.sum("before").alias("before"), F.sum("after").alias("after"))
+        .agg(*(F.sum(name).alias(name) for name in ("before", "after", "alone")))
     )
 
 
@@ -121,7 +133,7 @@ def _changed_pairs(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     return old.join(new, list(by)).where(~F.col("old").eqNullSafe(F.col("new")))
 
 
-def _changes_per_key(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+def _changes_per_key(counts: DataFrame, by: Sequence[str], *more: Column) -> DataFrame:
     """How many pairs of rows differ: all pairs less the equal ones."""
     return (
         counts.groupBy(*by)
@@ -129,6 +141,7 @@ def _changes_per_key(counts: DataFrame, by: Sequence[str]) -> DataFrame:
             F.sum("before").alias("before"),
             F.sum("after").alias("after"),
             F.sum(_product("before", "after")).alias("equal"),
+            *more,
         )
         .withColumn("changes", _product("before", "after") - F.col("equal"))
     )
@@ -156,11 +169,19 @@ def count_changes(
     return count_totals(per_key, [(F.sum("changes"), note)])
 
 
-def audit_changes_within(df: DataFrame, key: str, changes: Changes) -> DataFrame:
+def audit_changes_within(
+    df: DataFrame, key: str, changes: Changes, key_rows: DataFrame | None = None
+) -> DataFrame:
     """`audit_changes` of several columns at once, where one stage comes from the
-    other row by row and `df` holds the values of both."""
-    changed = _changed_pairs(_counts_of_rows(df, key, changes), ["change", "key"])
-    return changed.select(
+    other row by row and `df` holds the values of both.
+
+    Only rows which share their key are joined. `key_rows`, if given, is a frame
+    which takes less work than `df` and has the same keys in as many rows.
+    """
+    flagged = _with_shared_flag(df, key, key_rows)
+    alone = audit_row_changes(flagged.where(~F.col("__shared")), key, changes)
+    counts = _counts_of_rows(flagged.where("__shared"), key, changes)
+    changed = _changed_pairs(counts, ["change", "key"]).select(
         F.col("key").alias("transaction_id"),
         _notes(changes, "column").alias("column_changed"),
         F.col("old").alias("old_value"),
@@ -169,14 +190,18 @@ def audit_changes_within(df: DataFrame, key: str, changes: Changes) -> DataFrame
         _notes(changes, "reason").alias("change_reason"),
         _product("before", "after").alias("entries"),
     )
+    return alone.unionByName(changed)
 
 
-def count_changes_within(df: DataFrame, key: str, changes: Changes) -> DataFrame:
+def count_changes_within(
+    df: DataFrame, key: str, changes: Changes, key_rows: DataFrame | None = None
+) -> DataFrame:
     """Number of entries of `audit_changes_within` per column."""
+    counts = _counts_of_rows(_with_shared_flag(df, key, key_rows), key, changes)
+    per_key = _changes_per_key(counts, ["change", "key"], F.sum("alone").alias("alone"))
     return (
-        _changes_per_key(_counts_of_rows(df, key, changes), ["change", "key"])
-        .groupBy("change")
-        .agg(F.sum("changes").cast(COUNT).alias("number_of_changes"))
+        per_key.groupBy("change")
+        .agg(F.sum(F.col("changes") + F.col("alone")).cast(COUNT).alias("number_of_changes"))
         .where("number_of_changes > 0")
         .select(
             _notes(changes, "column").alias("column_changed"),

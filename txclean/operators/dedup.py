@@ -43,7 +43,7 @@ def with_row_num(
     df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] = (), out: str = "row_num"
 ) -> DataFrame:
     """Number the rows of each group equal on `keys` from 1, in `tiebreak` order."""
-    hashed, repeated = _repeated_hashes(df, keys)
+    hashed, repeated = with_key_hash(df, keys), repeated_hashes(df, keys)
     single = hashed.join(repeated, "__hash", "left_anti").select(
         *df.columns, F.lit(1).cast("long").alias(out)
     )
@@ -57,7 +57,7 @@ def duplicates(
     df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] = (), out: str = "row_num"
 ) -> DataFrame:
     """The rows `deduplicate` removes, with their number (2 and up)."""
-    hashed, repeated = _repeated_hashes(df, keys)
+    hashed, repeated = with_key_hash(df, keys), repeated_hashes(df, keys)
     others = hashed.join(repeated, "__hash", "left_semi").select(*df.columns)
     runs = _numbered_runs(others, keys, tiebreak).where("__last > 1")
     first = F.greatest(F.col("__last") - F.col("__copies") + 1, F.lit(2))
@@ -85,24 +85,25 @@ def repeat_rows(df: DataFrame, times: Column, number: str | None = None) -> Data
     return copies.withColumnRenamed("__number", number) if number else copies.drop("__number")
 
 
-def _repeated_hashes(
-    df: DataFrame, keys: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """The rows with a hash of their keys, and the hashes of more than one row.
+def with_key_hash(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumn("__hash", F.xxhash64(*keys))
+
+
+def repeated_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The values of `__hash` which more than one row has, as a shared table.
 
     Equal keys have equal hashes, so a row whose hash is its own has no copy, and
     need not be moved however wide it is. Rows which share a hash are not taken for
     copies; that is left to the keys themselves.
     """
-    hashed = df.withColumn("__hash", F.xxhash64(*keys))
-    repeated = shared_table(
-        hashed.groupBy("__hash")
+    return shared_table(
+        with_key_hash(df, keys)
+        .groupBy("__hash")
         .agg(F.count(F.lit(1)).alias("rows"))
         .where("rows > 1")
         .select("__hash"),
         "hashes",
     )
-    return hashed, repeated
 
 
 def _numbered_runs(

@@ -283,7 +283,9 @@ class CleaningResult:
 
     def audit_log(self) -> DataFrame:
         return audit.audit_log(
-            audit.audit_changes_within(self.traced, self.config.id, self._text_changes()),
+            audit.audit_changes_within(
+                self.traced, self.config.id, self._text_changes(), key_rows=self.keyed
+            ),
             self.audit_fills(),
             self.audit_duplicates(),
             self.audit_rates(),
@@ -330,7 +332,9 @@ class CleaningResult:
             c.instructed,
         )
         return audit.audit_log(
-            audit.count_changes_within(self.traced, c.id, self._text_changes()),
+            audit.count_changes_within(
+                self.traced, c.id, self._text_changes(), key_rows=self.keyed
+            ),
             audit.count_fills_within(
                 groups, c.id, "__before", c.amount, "copies", presets.FILL_NOTE
             ),
