@@ -60,7 +60,28 @@ def test_grouping_is_shared_by_the_counts(run):
 
 
 def test_shared_folder_is_the_configured_one(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert configured is None or shared_folder(spark) == configured
+
+
+class Session:
+    """A session with nothing but settings."""
+
+    def __init__(self, **settings):
+        self.settings = {key.replace("_", "."): value for key, value in settings.items()}
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    local = shared_folder(Session(spark_master="local[8]"))
+    assert local == shared_folder(Session(spark_master="local[8]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session(spark_master="spark://host:7077"))
+    named = Session(spark_master="spark://host:7077", spark_checkpoint_dir="hdfs:///shared")
+    assert shared_folder(named) == "hdfs:///shared"
 
 
 def test_known_counts(run):
