@@ -8,7 +8,7 @@ import __spark_entry__ as driver
 from tests.test_correct import setting
 from txclean.catalogue import derived
 from txclean.plans.pipeline import clean
-from txclean.plans.shared import shared_folder
+from txclean.shared import shared_folder
 
 SF_DIR = "/root/testdata/sf0.01"
 

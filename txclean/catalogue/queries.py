@@ -38,7 +38,7 @@ from txclean.operators import (
 )
 from txclean.plans import presets
 from txclean.plans.pipeline import CleaningResult, clean, dictionary_from
-from txclean.plans.shared import shared_folder
+from txclean.shared import shared_folder
 from txclean.sources import conform, read_transactions, write_relations
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txclean.functions.text import deletion_keys
-from txclean.plans.shared import shared_table
+from txclean.shared import shared_table
 
 
 def dictionary_matches(

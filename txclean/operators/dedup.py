@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txclean.plans.shared import shared_table
+from txclean.shared import shared_table
 
 PIECE = 100_000
 

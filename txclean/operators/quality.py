@@ -10,7 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txclean.plans.shared import shared_table
+from txclean.shared import shared_table
 
 
 @dataclass(frozen=True)
