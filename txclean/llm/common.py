@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: The white space of the contracts, `[\x20\x09-\x0D]`.
 SPACES = " \t\n\x0b\x0c\r"
@@ -29,7 +30,7 @@ def text_of(column: str = "text") -> Column:
 
 def in_slices(
     df: DataFrame,
-    schema: str,
+    schema: str | StructType,
     work: Callable[[pa.RecordBatch], Iterator[dict]],
     slice_bytes: int = 4_000_000,
 ) -> DataFrame:
@@ -38,7 +39,7 @@ def in_slices(
     `work` gets a RecordBatch and yields dicts of columns (arrays or lists). Memory
     is bounded by the slice and by the longest row.
     """
-    types = df.sparkSession.createDataFrame([], schema).schema
+    types = df.sparkSession.createDataFrame([], schema).schema if isinstance(schema, str) else schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(types)
@@ -57,3 +58,15 @@ def in_slices(
                     )
 
     return df.mapInArrow(run, types)
+
+
+def with_columns_by_slice(
+    df: DataFrame, added: str, work: Callable[[pa.RecordBatch], dict], slice_bytes: int = 4_000_000
+) -> DataFrame:
+    """All columns of `df` and those of `added`, which `work` makes from a slice."""
+    extra = df.sparkSession.createDataFrame([], added).schema
+
+    def run(batch):
+        yield dict(zip(batch.schema.names, batch.columns, strict=True)) | work(batch)
+
+    return in_slices(df, StructType([*df.schema.fields, *extra.fields]), run, slice_bytes)

@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 
 from txclean.llm.chat import format_conversations, read_back
 from txclean.llm.common import table
+from txclean.llm.decontamination import find_passages
 from txclean.llm.exact_dedup import exact_duplicates
+from txclean.llm.html_extraction import extract
+from txclean.llm.line_dedup import dedup_lines
 from txclean.llm.sentencepiece_codec import encode_documents
+from txclean.llm.simhash_dedup import near_duplicates
+from txclean.llm.substring_dedup import remove_duplicate_spans
 from txclean.llm.token_counts import count_tokens
+from txclean.llm.toxicity import Model, score, train
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +34,29 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def held_out(column: str = "doc_id"):
+    """Rows whose labels are not learnt."""
+    return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(5)) == 0
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> Model:
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    return train(table(spark, sf_dir, "documents"), labels)
+
+
+@query
+def op1_toxicity(spark, sf_dir):
+    scored = score(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), toxicity_model(spark, sf_dir)
+    )
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op2_sentencepiece(spark, sf_dir):
     return encode_documents(
@@ -47,6 +76,16 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_simhash(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_html(spark, sf_dir):
+    return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op7_chat(spark, sf_dir):
     probe = "</s>[INST] ok [/INST]"
@@ -73,6 +112,36 @@ def op7_chat(spark, sf_dir):
     )
 
 
+@query
+def op8_line_dedup(spark, sf_dir):
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id",
+        F.col("__lines").cast("long").alias("n_lines"),
+        F.col("__dropped").cast("long").alias("n_dropped"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+@query
+def op9_decontamination(spark, sf_dir):
+    found = find_passages(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        (F.size("__passages") > 0).alias("contaminated"),
+        F.array_sort(F.array_distinct(F.col("__passages.item"))).alias("item_ids"),
+        F.aggregate(
+            "__passages", F.lit(0).cast("long"), lambda n, p: n + (p.stop - p.start).cast("long")
+        ).alias("n_words"),
+    )
+
+
+@query
+def op10_substring_dedup(spark, sf_dir):
+    return remove_duplicate_spans(table(spark, sf_dir, "documents"), keep_text=False).drop("removed")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
