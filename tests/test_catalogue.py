@@ -7,11 +7,12 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from txclean import catalogue
 from tests.compare import database, duck_bag, spark_bag
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = driver.queries()
-ORACLE = driver.oracle_sql()
+QUERIES = catalogue.queries()
+ORACLE = catalogue.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_driver_has_every_query():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
+
+
 def test_entry(spark):
     df = driver.entry(spark)
     assert df.columns == ["Cleaning Stage", "Reason For Change", "Total Rows Changed"]
