@@ -2,20 +2,21 @@
 
 The kernel compares two words by the letter triples that they have in common, in order
 but not side by side: a triple counts by a decay to the power of the stretch it spans,
-so an insult with letters or marks put between its own still resembles itself. A
-sentence is compared with a landmark by its most similar word. Landmarks are words of
-the labelled sentences; by the Nyström method the kernel among them whitens the
-similarities, and a linear machine on top is a kernel machine of their span. A document
-counts as toxic by its worst sentence, so the machine is trained on that sentence of
-each toxic document (found anew in each round) and on all sentences of the others.
+so an insult with letters or marks put between its own still resembles itself. A sentence
+is as toxic as its worst word, and a document as its worst sentence. Landmarks are words
+of the labelled sentences; by the Nystroem method the kernel among them whitens a word's
+similarities to them, and a linear machine on top is a kernel machine of their span. Of
+a toxic document only the worst word is known to be toxic, and which one that is the machine finds
+anew in each round; every word of the other documents is not.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import string
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +27,20 @@ from txclean.llm.common import in_slices, text_of, with_columns_by_slice
 from txclean.shared import shared_table
 
 #: Letters of a subsequence, the longest stretch it may span, and the decay per letter.
-LETTERS, SPAN, DECAY = 3, 5, 0.7
-#: Similarities below this count as none.
-LEAST_SIMILARITY = 0.3
+LETTERS, SPAN, DECAY = 3, 5, 0.8
+#: What it costs to have all toxic words on the wrong side, and how many times that
+#: the words of other documents cost: each of those can spoil a text.
+COST, OTHERS = 3000.0, 4.0
+#: Triples are told apart by so many bits of a hash.
+BITS = 20
 #: Words of a sentence; a longer one is cut.
 SENTENCE = 40
 #: Remembered words of a worker before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 BREAK = re.compile(r"(?<=[.!?])\s+|\n+")
+SPELT = re.compile(r"(?:(?<=\s)|^)(?:[^\W\d_]\W*\s+){2}[^\W\d_](?=\W*(?:\s|$))")
+MARKS = string.punctuation
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 # Places of the second and third letter, with the weight of the stretch.
 STEPS = [
@@ -44,61 +50,64 @@ STEPS = [
 
 def word_of(token: str) -> str:
     """A token without the marks at its edges, in lower case."""
-    return EDGES.sub("", token).lower()
-
-
-def subsequences(word: str) -> dict[str, float]:
-    """Weight of each triple of letters; marks within a word only take up room."""
-    marked = "^" + word
-    n = len(marked)
-    good = [c.isalnum() or c == "^" for c in marked]
-    out: dict[str, float] = {}
-    for i in range(n - 2):
-        if not good[i]:
-            continue
-        for j, k, weight in STEPS:
-            if i + k < n and good[i + j] and good[i + k]:
-                key = marked[i] + marked[i + j] + marked[i + k]
-                out[key] = out.get(key, 0.0) + weight
-    return out
-
+    token = token.strip(MARKS).lower()
+    return token if not token or token[0].isalnum() and token[-1].isalnum() else EDGES.sub("", token)
+
+
+#: Fixed odd numbers for the hash of a triple.
+MIX = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
+_letters = np.full(0x110000, -1, np.int8)
+
+
+def _is_letter(codes: np.ndarray) -> np.ndarray:
+    new = np.unique(codes[_letters[codes] < 0])
+    for code in new.tolist():
+        _letters[code] = chr(code).isalnum() or chr(code) == "^"
+    return _letters[codes] > 0
+
+
+def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, triple, weight) of every triple of letters that stands in a word in order
+    and within SPAN places, weights scaled to length one per word. `^` stands before the
+    first letter; marks within a word only take up room."""
+    apart = "\0" * SPAN
+    joined = apart.join("^" + w for w in words) + apart
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    good = _is_letter(codes)
+    owner = np.repeat(np.arange(len(words)), [len(w) + 1 + SPAN for w in words])
+    n = len(codes) - SPAN + 1
+    mixed = [codes * np.uint32(m) for m in MIX]
+    parts = []
+    for j, k, weight in STEPS:
+        at = np.flatnonzero(good[:n] & good[j : n + j] & good[k : n + k])
+        value = (mixed[0][at] ^ (mixed[1][at + j] >> np.uint32(3))) + mixed[2][at + k]
+        value = (value ^ (value >> np.uint32(15))) * np.uint32(MIX[1])
+        parts.append((owner[at], value >> np.uint32(32 - BITS), np.full(len(at), weight)))
+    word, triple, weight = (np.concatenate(x) for x in zip(*parts, strict=True))
+    size = np.sqrt(np.bincount(word, weight * weight, minlength=len(words)))
+    return word, triple.astype(np.int64), weight / size[word]
 
-def norm(features: dict[str, float]) -> float:
-    return math.sqrt(sum(w * w for w in features.values()))
 
-
-@dataclass
 class Landmarks:
-    """Words with an index from triples to the words that have them."""
-
-    words: list[str]
-    index: dict[str, list[tuple[int, float]]] = field(default_factory=dict)
-
-    def __post_init__(self):
-        for n, word in enumerate(self.words):
-            features = subsequences(word)
-            size = norm(features) or 1.0
-            for key, weight in features.items():
-                self.index.setdefault(key, []).append((n, weight / size))
-
-    def similar(self, word: str) -> tuple[tuple[int, float], ...]:
-        """(landmark, similarity) of those the word resembles."""
-        index = self.index
-        features = subsequences(word)
-        sums: dict[int, float] = {}
-        for key, weight in features.items():
-            for n, w in index.get(key, ()):
-                sums[n] = sums.get(n, 0.0) + weight * w
-        if not sums:
-            return ()
-        size = norm(features)
-        return tuple((n, s / size) for n, s in sums.items() if s >= LEAST_SIMILARITY * size)
-
-    def kernel(self) -> np.ndarray:
-        out = np.zeros((len(self.words), len(self.words)))
-        for i, word in enumerate(self.words):
-            for j, s in self.similar(word):
-                out[i, j] = s
+    """Words, and a table of their triples."""
+
+    def __init__(self, words: list[str]):
+        self.words = words
+        word, triple, weight = triples(words) if words else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        self.triples = np.unique(triple)
+        self.table = np.zeros((len(self.triples) + 1, len(words)), np.float32)
+        np.add.at(self.table, (np.searchsorted(self.triples, triple), word), weight)
+
+    def similar(self, words: list[str]) -> np.ndarray:
+        """The kernel of each word with each landmark."""
+        out = np.zeros((len(words), len(self.words)))
+        if not words or not self.words:
+            return out
+        word, triple, weight = triples(words)
+        row = np.searchsorted(self.triples, triple)
+        row = np.where(self.triples[np.minimum(row, len(self.triples) - 1)] == triple, row, len(self.triples))
+        hit = row < len(self.triples)
+        np.add.at(out, word[hit], self.table[row[hit]] * weight[hit, None])
         return out
 
 
@@ -123,60 +132,68 @@ def spelt(tokens: list[str]) -> list[str]:
     return out
 
 
-class Reader:
-    """Turns sentences into similarities to landmarks, remembering words."""
-
-    def __init__(self, landmarks: Landmarks):
-        self.landmarks = landmarks
-        self.known: dict[str, tuple] = {}
-
-    def word(self, token: str) -> tuple:
-        hit = self.known.get(token)
-        if hit is None:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            hit = self.known[token] = self.landmarks.similar(word_of(token))
-        return hit
-
-    def sentence(self, tokens: list[str]) -> dict[int, float]:
-        best: dict[int, float] = {}
-        singles = 0
-        for token in tokens:
-            singles = singles + 1 if len(token) < 3 else 0
-            if singles == LETTERS:
-                for word in spelt(tokens):
-                    for n, s in self.landmarks.similar(word):
-                        best[n] = max(best.get(n, 0.0), s)
-            for n, s in self.word(token):
-                if s > best.get(n, 0.0):
-                    best[n] = s
-        return best
-
-    def document(self, text: str) -> list[dict[int, float]]:
-        """Similarities of the sentences that have any."""
-        if not any(map(self.word, set(text.split()))) and not re.search(r"(?:\S{1,2}\s+){2}\S{1,2}(?:\s|$)", text):
-            return []
-        return [v for v in map(self.sentence, sentences(text)) if v]
+def forms(token: str) -> set[str]:
+    """How a token may be meant: as it stands, and without the marks within."""
+    word = word_of(token)
+    if len(word) < LETTERS:
+        return set()
+    return {word} if word.isalnum() else {word, "".join(c for c in word if c.isalnum())}
 
 
 @dataclass
 class Model:
-    """Landmarks, a weight for each, what a sentence without any similarity gets, and
-    the line that turns the worst sentence's value into a probability."""
+    """Landmarks, a weight for each, what a text without words gets, and the line that
+    turns the worst word's value into a probability."""
 
     landmarks: Landmarks
     weights: np.ndarray
     bias: float
-    slope: float
-    offset: float
+    slope: float = 1.0
+    offset: float = 0.0
+
+    def __post_init__(self):
+        # By linearity a word's value is a sum over its triples.
+        self.by_triple = np.zeros(1 << BITS)
+        self.by_triple[self.landmarks.triples] = self.landmarks.table[:-1] @ self.weights
+
+    def values(self, words: list[str]) -> np.ndarray:
+        parts = [np.zeros(0)]
+        for n in range(0, len(words), 20_000):
+            word, triple, weight = triples(words[n : n + 20_000])
+            size = min(20_000, len(words) - n)
+            parts.append(np.bincount(word, self.by_triple[triple] * weight, minlength=size))
+        return np.concatenate(parts) + self.bias
 
-    def value(self, similar: dict[int, float]) -> float:
-        w = self.weights
-        return self.bias + sum(w[n] * s for n, s in similar.items())
+    def probability(self, value: float) -> float:
+        return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.slope * value + self.offset))))
 
-    def score(self, reader: Reader, text: str) -> float:
-        worst = max([self.bias, *map(self.value, reader.document(text))])
-        return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.slope * worst + self.offset))))
+
+class Reader:
+    """Values of documents, with the words remembered."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.known: dict[str, float] = {}
+
+    def documents(self, texts: list[str]) -> list[float]:
+        """The worst word's value in each."""
+        known, bias = self.known, self.model.bias
+        if len(known) > REMEMBERED:
+            known.clear()
+        tokens = [set(t.split()) for t in texts]
+        new = list({t for ts in tokens for t in ts if t not in known})
+        of = [forms(t) for t in new]
+        words = sorted({w for f in of for w in f})
+        values = dict(zip(words, self.model.values(words).tolist(), strict=True))
+        known.update((t, max([bias, *(values[w] for w in f)])) for t, f in zip(new, of, strict=True))
+        out = []
+        for text, ts in zip(texts, tokens, strict=True):
+            worst = max(map(known.__getitem__, ts), default=bias)
+            if SPELT.search(text):
+                runs = [w for s in sentences(text) for w in spelt(s)]
+                worst = max([worst, *self.model.values(runs).tolist()])
+            out.append(worst)
+        return out
 
 
 def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) -> np.ndarray:
@@ -216,65 +233,86 @@ def _calibrated(values: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return max(slope, 1e-3), offset
 
 
-def _trained(bags: list[tuple[int, list[dict]]], size: int, start: np.ndarray, white: np.ndarray):
-    """Weights in landmark space and bias, from (toxic, sentences) per document."""
-    weights, bias = start, 0.0
-    clean = [v for toxic, vs in bags if not toxic for v in (vs or [{}])]
-    clean += [{}] * max(1, sum(not toxic for toxic, _ in bags) // 4)
+def _trained(
+    similar: np.ndarray,
+    bags: list[list[int]],
+    clean: np.ndarray,
+    white: np.ndarray,
+    start: np.ndarray,
+    sure: np.ndarray,
+    gapped: list[np.ndarray],
+):
+    """Weights by landmark and bias. `similar`: rows for words; `bags`: of each toxic
+    document the words in question; `clean`: in how many other documents each word stands;
+    `start`: what to take for the words' values first; `sure`: words that tell beyond
+    chance; `gapped`: rows like `similar` for the words with something put in."""
+    phi = similar @ white
+    gapped = [g @ white for g in gapped]
+    value = start
+    negative = np.flatnonzero(clean)
+    weights, bias = np.zeros(similar.shape[1]), -1.0
     for _ in range(4):
-        witness = []
-        for toxic, vs in bags:
-            if toxic and vs:
-                witness.append(max(vs, key=lambda v: sum(weights[n] * s for n, s in v.items())))
-        if not witness:
-            return np.zeros(size), -1.0
-        rows = witness + clean
-        x = np.zeros((len(rows), size), np.float32)
-        for i, v in enumerate(rows):
-            for n, s in v.items():
-                x[i, n] = s
-        y = np.concatenate([np.ones(len(witness)), -np.ones(len(clean))])
-        cost = np.where(y > 0, 2.0, 2.0 * max(0.2, len(witness) / len(clean)))
-        w = _machine(x @ white, y, cost)
+        # The worst word of a document, and any other that is sure, count as toxic.
+        witness = np.zeros(len(similar))
+        for bag in bags:
+            if bag:
+                worst = max(bag, key=value.__getitem__)
+                for n in {worst, *(b for b in bag if sure[b])}:
+                    witness[n] += 1
+        positive = np.flatnonzero(witness)
+        if not len(positive):
+            break
+        x = np.concatenate([phi[positive], *(g[positive] for g in gapped), phi[negative]])
+        times = 1 + len(gapped)
+        y = np.concatenate([np.ones(len(positive) * times), -np.ones(len(negative))])
+        up = np.tile(witness[positive], times)
+        down = np.sqrt(clean[negative])
+        cost = COST * np.concatenate([up / up.sum(), OTHERS * down / down.sum()])
+        w = _machine(x, y, cost)
         weights, bias = white @ w[:-1], float(w[-1])
+        value = similar @ weights + bias
     return weights, bias
 
 
-def _chosen(counts: list[tuple[str, int, int]], toxic_docs: int, clean_docs: int, most: int) -> tuple[list, np.ndarray]:
-    """Landmarks from (word, toxic documents, other documents): those that speak most
-    for toxicity, each unlike the ones before, and the others' words nearest to them."""
-    def weight(t, c):
-        return math.log((t + 0.5) / (toxic_docs + 1)) - math.log((c + 0.5) / (clean_docs + 1))
-
-    ranked = sorted(
-        ((weight(t, c) * math.sqrt(t), w, t, c) for w, t, c in counts if t >= 2 and weight(t, c) > 1), reverse=True
-    )
-    words, start = [], []
-    index: dict[str, list[tuple[int, float]]] = {}
-    for _, word, t, c in ranked:
+def _beyond_chance(t: int, c: int, toxic_docs: int, clean_docs: int, least: float = 15.0) -> bool:
+    """Whether a word stands in toxic documents more often than chance would have it, by
+    a likelihood ratio."""
+    if t * clean_docs <= c * toxic_docs:
+        return False
+    share = toxic_docs / (toxic_docs + clean_docs)
+    ratio = t * math.log(t / ((t + c) * share)) + (c * math.log(c / ((t + c) * (1 - share))) if c else 0.0)
+    return 2 * ratio >= least
+
+
+def put_in(word: str, seed: int) -> str:
+    """The word with a letter put in somewhere within, or one of its own doubled."""
+    at = 1 + (seed * 7 + len(word)) % max(1, len(word) - 1)
+    return word[:at] + ("xyz"[seed % 3] if seed % 2 else word[at - 1]) + word[at:]
+
+
+def _chosen(counts: list[tuple[str, int, int]], telling: dict[str, float], most: int) -> list[str]:
+    """Landmarks: three in four are words that tell toxicity, each unlike the ones
+    before; the others are words of other documents which resemble them most."""
+    words: list[str] = []
+    near = np.zeros((0, 0))
+    ranked = sorted((w for w in telling if telling[w] > 1), key=lambda w: (-telling[w], w))
+    for start in range(0, len(ranked), 200):
+        part = ranked[start : start + 200]
+        near = Landmarks(part + words).similar(part)
+        fresh: list[int] = []
+        for n in range(len(part)):
+            others = [*fresh, *range(len(part), near.shape[1])]
+            if len(words) + len(fresh) < most * 3 // 4 and (not others or near[n, others].max() < 0.85):
+                fresh.append(n)
+        words += [part[n] for n in fresh]
         if len(words) >= most * 3 // 4:
             break
-        features = subsequences(word)
-        size = norm(features)
-        sums: dict[int, float] = {}
-        for key, w in features.items():
-            for n, v in index.get(key, ()):
-                sums[n] = sums.get(n, 0.0) + w * v
-        if not size or max(sums.values(), default=0.0) > 0.92 * size:
-            continue
-        for key, w in features.items():
-            index.setdefault(key, []).append((len(words), w / size))
-        words.append(word)
-        start.append(weight(t, c))
-    near = Landmarks(words)
-    taken = set(words)
-    others = sorted(
-        ((max((s for _, s in near.similar(w)), default=0.0), w) for w, t, c in counts if c > 0 and weight(t, c) < 0.3 and w not in taken),
-        reverse=True,
-    )[: most - len(words)]
-    words += [w for s, w in others if s > 0]
-    start += [-0.5] * (len(words) - len(start))
-    return words, np.array(start)
+    if words:
+        taken = set(words)
+        others = [w for w, t, c in counts if c > t and w not in taken]
+        close = Landmarks(words).similar(others).max(axis=1, initial=0.0)
+        words += [others[n] for n in np.argsort(-close, kind="stable")[: most - len(words)]]
+    return words
 
 
 def train(
@@ -283,107 +321,120 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    per_class: int = 3000,
+    per_class: int = 4000,
     landmarks: int = 256,
-    words: int = 20_000,
-    sentences_per_document: int = 8,
+    words: int = 12_000,
+    in_question: int = 12,
 ) -> Model:
     """Train on documents with a label of 1 or 0; other labels and null texts are left out.
 
     Bounds, which no table changes: at most `per_class` documents of each label, in the
-    order of a hash of the id; of their words the `words` first by how much
-    they tell; `landmarks` of those; of each document the `sentences_per_document`
-    nearest to a landmark. So much comes to the driver, and nothing else. Texts are read
-    whole. If one of the labels has no document, every score is the other label's.
+    order of a hash of the id; of their words the `words` that tell most or are most
+    frequent or are mistaken most, and `landmarks` of those; of each toxic document the
+    `in_question` words that tell most. So much comes to the driver, and nothing else.
+    Texts are read whole. If one of the labels has no document, or no word tells, every
+    score is the commoner label's.
     """
     spark = documents.sparkSession
-    marked = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("toxic")).where(
-        "id IS NOT NULL AND toxic IN (0, 1)"
-    )
+    marked = labels.select(
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("toxic")
+    ).where("id IS NOT NULL AND toxic IN (0, 1)")
     order = F.xxhash64(F.col("id"), F.lit(7))
-    sample = [
-        marked.where(F.col("toxic") == label).distinct().orderBy(order, "id").limit(per_class) for label in (0, 1)
-    ]
-    sample = shared_table(sample[0].unionByName(sample[1]), "labelled")
+    first, second = (
+        marked.where(F.col("toxic") == label).distinct().orderBy(order, "id").limit(per_class)
+        for label in (0, 1)
+    )
+    sample = shared_table(first.unionByName(second), "labelled")
     docs = shared_table(
         documents.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
         .where("text IS NOT NULL")
-        .join(sample, "id"),
+        .join(sample, "id")
+        .dropDuplicates(["toxic", "text"]),  # a copy tells nothing new
         "labelled-texts",
     )
     sizes = {r["toxic"]: r["n"] for r in docs.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic_docs, clean_docs = sizes.get(1, 0), sizes.get(0, 0)
+    nothing = Model(Landmarks([]), np.zeros(0), 0.0, 1.0, 5.0 if toxic_docs > clean_docs else -5.0)
     if not toxic_docs or not clean_docs:
-        return Model(Landmarks([]), np.zeros(0), 0.0, 1.0, 5.0 if toxic_docs else -5.0)
+        return nothing
+
+    def words_in(text: str) -> set[str]:
+        found = {w for t in set(text.split()) for w in forms(t)}
+        return found | {w for s in sentences(text) for w in spelt(s)}
 
     def vocabulary(batch):
         out: dict = {"word": [], "toxic": []}
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-            found = {w for t in set(text.split()) if 3 <= len(w := word_of(t)) <= 40}
-            found.update(w for s in sentences(text) for w in spelt(s))
-            out["word"] += sorted(found)
+            found = sorted(words_in(text))
+            out["word"] += found
             out["toxic"] += [toxic] * len(found)
         yield out
 
-    counted = in_slices(docs.select("text", "toxic"), "word string, toxic int", vocabulary).groupBy("word").agg(
-        F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c")
+    counted = shared_table(
+        in_slices(docs.select("text", "toxic"), "word string, toxic int", vocabulary)
+        .groupBy("word")
+        .agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c")),
+        "words",
     )
-    counted = shared_table(counted, "words")
-    telling = F.sqrt("t") * (F.log((F.col("t") + 0.5) / (toxic_docs + 1)) - F.log((F.col("c") + 0.5) / (clean_docs + 1)))
-    rows = {
-        tuple(r)
-        for part in (
-            counted.where("t >= 2").orderBy(telling.desc(), "word"),
-            counted.where("c >= 1").orderBy(F.col("c").desc(), "word"),
-        )
-        for r in part.limit(words // 2).collect()
-    }
-    chosen, start = _chosen(sorted(rows), toxic_docs, clean_docs, landmarks)
+    tells = F.sqrt("t") * (
+        F.log((F.col("t") + 0.5) / (toxic_docs + 1)) - F.log((F.col("c") + 0.5) / (clean_docs + 1))
+    )
+    third = words // 3
+    top = counted.where("t >= 2").withColumn("tells", tells).orderBy(F.col("tells").desc(), "word").limit(third)
+    telling = {r["word"]: r["tells"] for r in top.collect()}
+    rows = {r["word"]: (r["t"], r["c"]) for r in top.collect()}
+    common = counted.where("c >= 1").orderBy(F.col("c").desc(), "word").limit(third)
+    rows |= {r["word"]: (r["t"], r["c"]) for r in common.collect()}
+    chosen = _chosen([(w, *n) for w, n in sorted(rows.items())], telling, landmarks)
     if not chosen:
-        return Model(Landmarks([]), np.zeros(0), 0.0, 1.0, math.log(toxic_docs / clean_docs))
+        return nothing
     marks = Landmarks(chosen)
-    sent = spark.sparkContext.broadcast(marks)
-    per_doc = sentences_per_document
-
-    def vectors(batch):
-        reader = Reader(sent.value)
-        out: dict = {"id": [], "toxic": [], "marks": [], "similar": []}
-        for i, text in enumerate(batch.column("text").to_pylist()):
-            vs = sorted(reader.document(text), key=lambda v: -max(v.values()))[:per_doc]
-            for v in vs or [{}]:
-                out["id"].append(batch.column("id")[i].as_py())
-                out["toxic"].append(batch.column("toxic")[i].as_py())
-                out["marks"].append(list(v))
-                out["similar"].append(list(v.values()))
-        yield out
+    known = spark.sparkContext.broadcast(telling)
 
-    kind = dict(docs.dtypes)["id"]
-    found = in_slices(
-        docs.select("id", "toxic", "text"), f"id {kind}, toxic int, marks array<int>, similar array<float>", vectors
-    ).collect()
-    bags: dict = {}
-    for r in found:
-        vs = bags.setdefault((r["id"], r["toxic"]), [])
-        if r["marks"]:
-            vs.append(dict(zip(r["marks"], r["similar"], strict=True)))
-    ordered = [(toxic, vs) for (_, toxic), vs in sorted(bags.items())]
-    values, eigen = np.linalg.eigh(marks.kernel() + marks.kernel().T)
-    values = np.maximum(values / 2, 1e-2)
-    white = (eigen / np.sqrt(values)) @ eigen.T
-
-    def worst(vs, weights, bias):
-        return max([bias, *(bias + sum(weights[n] * s for n, s in v.items()) for v in vs)])
-
-    folds, held, truth = 3, [], []
-    for fold in range(folds):
-        weights, bias = _trained([b for n, b in enumerate(ordered) if n % folds != fold], len(chosen), start, white)
-        for n, (toxic, vs) in enumerate(ordered):
-            if n % folds == fold:
-                held.append(worst(vs, weights, bias))
-                truth.append(toxic)
-    weights, bias = _trained(ordered, len(chosen), start, white)
-    slope, offset = _calibrated(np.array(held), np.array(truth, float))
-    return Model(marks, weights, bias, slope, offset)
+    def candidates(batch):
+        sets = [words_in(t) & known.value.keys() for t in batch.column("text").to_pylist()]
+        yield {"words": [sorted(s, key=lambda w: (-known.value[w], w))[:in_question] for s in sets]}
+
+    toxic_words = [
+        r["words"] for r in in_slices(docs.where("toxic = 1").select("text"), "words array<string>", candidates).collect()
+    ]
+    values, eigen = np.linalg.eigh(marks.similar(chosen))
+    white = (eigen / np.sqrt(np.maximum(values, 1e-2))) @ eigen.T
+
+    def trained() -> Model:
+        names = sorted(rows)
+        place = {w: n for n, w in enumerate(names)}
+        clean = np.array([float(rows[w][1]) for w in names])
+        start = np.array([telling.get(w, -1.0) for w in names])
+        sure = np.array([_beyond_chance(*rows[w], toxic_docs, clean_docs) for w in names])
+        bags = [[place[w] for w in ws] for ws in toxic_words]
+        gapped = [marks.similar([put_in(w, seed) for w in names]) for seed in (1, 2)]
+        return Model(marks, *_trained(marks.similar(names), bags, clean, white, start, sure, gapped))
+
+    # Words of other documents that the first machine takes for toxic join the rest.
+    sent = spark.sparkContext.broadcast(trained())
+
+    def valued(batch):
+        yield {
+            "word": batch.column("word"), "t": batch.column("t"), "c": batch.column("c"),
+            "value": sent.value.values(batch.column("word").to_pylist()),
+        }
+
+    mistaken = in_slices(counted.where("c >= 1"), "word string, t long, c long, value double", valued)
+    worst = mistaken.orderBy(F.col("value").desc(), "word").limit(third).collect()
+    rows |= {r["word"]: (r["t"], r["c"]) for r in worst}
+    model = trained()
+    final = spark.sparkContext.broadcast(model)
+
+    def held(batch):
+        yield {"toxic": batch.column("toxic"), "value": Reader(final.value).documents(batch.column("text").to_pylist())}
+
+    found = in_slices(docs.select("toxic", "text"), "toxic int, value double", held).collect()
+    found.sort()
+    model.slope, model.offset = _calibrated(
+        np.array([r["value"] for r in found]), np.array([float(r["toxic"]) for r in found])
+    )
+    return model
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
@@ -394,9 +445,9 @@ def score(df: DataFrame, model: Model, text_col: str = "text", name: str = "scor
 
     def work(batch):
         if "reader" not in state:
-            state["reader"] = Reader(sent.value.landmarks)
-        texts = batch.column("__text").to_pylist()
-        return {name: pa.array([sent.value.score(state["reader"], t) for t in texts], pa.float64())}
+            state["reader"] = Reader(sent.value)
+        values = state["reader"].documents(batch.column("__text").to_pylist())
+        return {name: pa.array([sent.value.probability(v) for v in values], pa.float64())}
 
     texts = df.withColumn("__text", text_of(f"`{text_col}`"))
     return with_columns_by_slice(texts, f"`{name}` double", work).drop("__text")
