@@ -16,8 +16,12 @@ from txclean.shared import shared_table
 BLOCK = 50_000
 BLOCK_BYTES = 64_000_000
 
-#: near(rows, i, js) -> which of the rows js row i is linked to; rows are arrays by name.
-Near = Callable[[dict[str, np.ndarray], int, np.ndarray], np.ndarray]
+#: Buckets of so many rows at most are compared pair by pair, all in one sweep.
+SMALL = 12
+
+#: near(rows, i, js) -> which of the rows js are linked to row i, or to the row of i in
+#: the same place if i is an array; rows are arrays by name.
+Near = Callable[[dict[str, np.ndarray], int | np.ndarray, np.ndarray], np.ndarray]
 
 
 def forest(rows: dict, near: Near, size: int) -> list[tuple[int, int]]:
@@ -95,7 +99,19 @@ def bucket_links(
         starts = np.flatnonzero(change)
         sizes = np.diff(np.append(starts, table.num_rows))
         links = []
-        for start, size in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
+        bucket = np.cumsum(change) - 1
+        few = (sizes[bucket] > 1) & (sizes[bucket] <= SMALL)
+        if few.any():
+            part = of(table.filter(pa.array(few)))
+            own, ids = bucket[few], part[node]
+            for step in range(1, min(SMALL, len(ids))):
+                i = np.flatnonzero(own[:-step] == own[step:])
+                if not len(i):
+                    break
+                i = i[near(part, i, i + step)]
+                links += zip(ids[i].tolist(), ids[i + step].tolist(), strict=True)
+        many = sizes > SMALL
+        for start, size in zip(starts[many].tolist(), sizes[many].tolist(), strict=True):
             part = of(table.slice(start, size))
             ids = part[node]
             links += [(int(ids[i]), int(ids[j])) for i, j in forest(part, near, size)]

@@ -10,7 +10,7 @@ stays, the first by document id and place.
 from __future__ import annotations
 
 import re
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,10 @@ SIMILARITY = 0.8
 LEAST_WORDS = 3
 REMEMBERED = 300_000
 _bits: dict[str, int] = {}
-_table = np.zeros((1024, 64), np.int8)
+# A row for each remembered word: its hash's bits, a byte each, eight bytes to a number.
+_table = np.zeros((1024, 8), np.uint64)
+#: So many bytes of 0 and 1 add up without a carry into the next.
+STRETCH = 255
 
 
 def normalised(line: str) -> list[str]:
@@ -44,29 +47,33 @@ def simhashes(lines: list[list[str]]) -> np.ndarray:
     global _table
     if len(_bits) > REMEMBERED:
         _bits.clear()
-    new = sorted({w for words in lines for w in words if w not in _bits})
+    new = [w for w in set(chain.from_iterable(lines)) if w not in _bits]
     if new:
         hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in new], np.uint64)
         first = len(_bits)
         if first + len(new) > len(_table):
-            grown = np.zeros((2 * (first + len(new)), 64), np.int8)
+            grown = np.zeros((2 * (first + len(new)), 8), np.uint64)
             grown[:first] = _table[:first]
             _table = grown
         bits = np.unpackbits(hashed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        _table[first : first + len(new)] = bits.astype(np.int8) * 2 - 1
+        _table[first : first + len(new)] = bits.view(np.uint64)
         _bits.update(zip(new, range(first, first + len(new)), strict=True))
     out = np.zeros(len(lines), np.uint64)
     sizes = np.array([len(words) for words in lines], np.int64)
-    index = np.fromiter((_bits[w] for words in lines for w in words), np.int64, int(sizes.sum()))
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(lines) else sizes
-    step, at = 200_000, 0
+    at = 0
     while at < len(lines):  # some lines at a time; a line alone may be longer
-        stop = int(np.searchsorted(starts, starts[at] + step, "left"))
-        stop = max(at + 1, stop)
-        lo = starts[at]
-        hi = starts[stop] if stop < len(lines) else len(index)
-        sums = np.add.reduceat(_table[index[lo:hi]], starts[at:stop] - lo, axis=0, dtype=np.int32)
-        out[at:stop] = np.packbits(sums > 0, axis=1, bitorder="little").view(np.uint64)[:, 0]
+        stop = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), 200_000, "right")) + at)
+        index = np.fromiter(map(_bits.__getitem__, chain.from_iterable(lines[at:stop])), np.int64)
+        # Stretches of a line are added up first, then the stretches.
+        pieces = -(-sizes[at:stop] // STRETCH)
+        heads = np.cumsum(pieces) - pieces
+        within_line = np.arange(pieces.sum()) - np.repeat(heads, pieces)
+        begins = np.repeat(np.cumsum(sizes[at:stop]) - sizes[at:stop], pieces) + within_line * STRETCH
+        sums = np.add.reduceat(_table[index], begins, axis=0).view(np.uint8)
+        if len(sums) > stop - at:
+            sums = np.add.reduceat(sums, heads, axis=0, dtype=np.int64)
+        most = sums.astype(np.int64) * 2 > sizes[at:stop, None]
+        out[at:stop] = np.packbits(most, axis=1, bitorder="little").view(np.uint64)[:, 0]
         at = stop
     return out
 
@@ -133,8 +140,13 @@ def _near_bits(rows, i, js):
 def _near_text(rows, i, js):
     hit = _near_bits(rows, i, js)
     texts = rows["norm"]
+    if "size" not in rows:
+        rows["size"] = np.array([len(t) for t in texts])
+    size = rows["size"]
+    hit &= np.abs(size[js] - size[i]) <= np.maximum(size[js], size[i]) * (1 - SIMILARITY) + 1e-9
+    own = np.broadcast_to(i, js.shape)
     for at in np.flatnonzero(hit):
-        hit[at] = similar(texts[i], texts[js[at]])
+        hit[at] = similar(texts[own[at]], texts[js[at]])
     return hit
 
 
