@@ -100,14 +100,16 @@ class Landmarks:
 
     def similar(self, words: list[str]) -> np.ndarray:
         """The kernel of each word with each landmark."""
-        out = np.zeros((len(words), len(self.words)))
-        if not words or not self.words:
+        out = np.zeros((len(words), len(self.words)), np.float32)
+        if not self.words:
             return out
-        word, triple, weight = triples(words)
-        row = np.searchsorted(self.triples, triple)
-        row = np.where(self.triples[np.minimum(row, len(self.triples) - 1)] == triple, row, len(self.triples))
-        hit = row < len(self.triples)
-        np.add.at(out, word[hit], self.table[row[hit]] * weight[hit, None])
+        for n in range(0, len(words), 250):  # some at a time, as a triple takes a row
+            word, triple, weight = triples(words[n : n + 250])
+            row = np.searchsorted(self.triples, triple)
+            row = np.minimum(row, len(self.triples) - 1)
+            hit = self.triples[row] == triple
+            added = self.table[row[hit]] * weight[hit, None].astype(np.float32)
+            np.add.at(out, word[hit] + n, added)
         return out
 
 
@@ -199,7 +201,7 @@ class Reader:
 def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) -> np.ndarray:
     """Linear machine with squared hinge loss, by Newton steps; the last weight is the
     bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     w = np.zeros(x.shape[1])
     ridge = np.ones(x.shape[1])
     ridge[-1] = 1e-4
@@ -208,7 +210,10 @@ def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) -
         active = slack > 0
         xa, ca = x[active], cost[active]
         gradient = ridge * w - 2 * xa.T @ (ca * y[active] * slack[active])
-        hessian = np.diag(ridge) + 2 * (xa * ca[:, None]).T @ xa
+        hessian = np.diag(ridge)
+        for n in range(0, len(xa), 2000):
+            part = xa[n : n + 2000].astype(float)
+            hessian = hessian + 2 * (part * ca[n : n + 2000, None]).T @ part
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -246,6 +251,7 @@ def _trained(
     document the words in question; `clean`: in how many other documents each word stands;
     `start`: what to take for the words' values first; `sure`: words that tell beyond
     chance; `gapped`: rows like `similar` for the words with something put in."""
+    white = white.astype(np.float32)
     phi = similar @ white
     gapped = [g @ white for g in gapped]
     value = start
