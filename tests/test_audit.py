@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from txclean.operators import audit
 from txclean.operators import (
     audit_changes,
     audit_changes_within,
@@ -158,3 +159,12 @@ def test_summary_and_report(rows):
     log = audit_changes(*stages(rows), "id", "name", NOTE)
     report = cleaning_report(summarise_audit(log)).collect()
     assert [tuple(r) for r in report] == [("Stage", "Reason", joined(ROWS).total())]
+
+
+def test_row_changes_compare_values_not_their_texts(spark):
+    df = spark.sql(
+        "SELECT 1 AS id, CAST(1.5 AS DECIMAL(12,1)) AS old, CAST(1.50 AS DECIMAL(12,2)) AS new "
+        "UNION ALL SELECT 2, CAST(NULL AS DECIMAL(12,1)), CAST(2 AS DECIMAL(12,2)) UNION ALL SELECT 3, NULL, NULL"
+    )
+    note = audit.Note("amount", "stage", "reason")
+    assert [r.transaction_id for r in audit.audit_row_changes(df, "id", [("old", "new", note)]).collect()] == [2]

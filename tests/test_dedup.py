@@ -64,3 +64,13 @@ def test_repeat_rows(spark, monkeypatch):
     df = spark.createDataFrame([("a", 25), ("b", 0), ("c", 1)], "x string, n int")
     out = repeat_rows(df, F.col("n"), number="i")
     assert bag(out.select("x", "i")) == Counter([("a", i) for i in range(25)] + [("c", 0)])
+
+
+@pytest.mark.parametrize("tiebreak", [[], ["v"], ["w"]])
+def test_survivors_and_duplicates_make_up_the_table(spark, tiebreak):
+    rows = [("k", f"v{n}", n % 2) for n in range(4)] + [(None, "v", 1), (None, "v", 1), ("a", None, 0)]
+    df = spark.createDataFrame(rows, "k string, v string, w int").repartition(3)
+    kept = deduplicate(df, ["k"], tiebreak).collect()
+    listed = duplicates(df, ["k"], tiebreak).drop("row_num").collect()
+    assert len(kept) == 3
+    assert sorted(map(str, kept + listed)) == sorted(str(r) for r in df.collect())

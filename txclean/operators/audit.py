@@ -329,14 +329,17 @@ def audit_row_changes(df: DataFrame, key: str, changes: Changes) -> DataFrame:
                 F.col(new).cast("string").alias("new_value"),
                 F.lit(note.stage).alias("change_stage"),
                 F.lit(note.reason).alias("change_reason"),
+                # Compared as they are: 1.5 and 1.50 are one value, though not one text.
+                (~F.col(old).eqNullSafe(F.col(new))).alias("changed"),
             )
             for old, new, note in changes
         )
     )
     return (
         df.select(F.col(key).alias("transaction_id"), F.explode(entries).alias("entry"))
+        .where("entry.changed")
         .select("transaction_id", "entry.*", F.lit(1).cast(COUNT).alias("entries"))
-        .where(~F.col("old_value").eqNullSafe(F.col("new_value")))
+        .drop("changed")
     )
 
 

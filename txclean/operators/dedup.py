@@ -25,12 +25,12 @@ def deduplicate(
 ) -> DataFrame:
     """Keep the first row by `tiebreak` of each group equal on `keys`.
 
-    Null keys group together. `tiebreak` should put different rows of a group in
-    a fixed order; without one any row of the group may survive.
+    Null keys group together. Rows which `tiebreak` leaves equal are ordered by all
+    columns, as in `duplicates`, so the two always make up `df`.
     """
     # The window sorts by its keys in turn. A hash in front settles nearly every
     # comparison with one number, however wide the keys; the keys still decide.
-    window = Window.partitionBy("__hash", *keys).orderBy(*(tiebreak or keys))
+    window = Window.partitionBy("__hash", *keys).orderBy(*_order_within(df, keys, tiebreak))
     return (
         df.withColumn("__hash", F.xxhash64(*keys))
         .withColumn("__row_num", F.row_number().over(window))
@@ -39,6 +39,12 @@ def deduplicate(
     )
 
 
+def _order_within(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str]) -> list[str]:
+    """The total order of the rows of a group."""
+    rest = [c for c in df.columns if c not in keys]
+    return list(dict.fromkeys([*tiebreak, *rest])) or list(keys)
+
+
 def with_row_num(
     df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] = (), out: str = "row_num"
 ) -> DataFrame:
@@ -67,15 +73,18 @@ def duplicates(
 def repeat_rows(df: DataFrame, times: Column, number: str | None = None) -> DataFrame:
     """Each row as often as `times` says; `number` counts its copies from 0.
 
-    Rows are cut into pieces of `PIECE` copies which are spread before they are
-    written out, so that a row with very many copies is shared by many tasks.
+    Rows with more than `PIECE` copies are cut into pieces which are spread before
+    they are written out, so that they are shared by many tasks; the others are
+    written out where they stand.
     """
-    pieces = (
-        df.withColumn("__times", times.cast("long"))
-        .where("__times > 0")
+    counted = df.withColumn("__times", times.cast("long")).where("__times > 0")
+    few = counted.where(f"__times <= {PIECE}").withColumn("__from", F.lit(0).cast("long"))
+    many = (
+        counted.where(f"__times > {PIECE}")
         .withColumn("__from", F.explode(F.expr(f"sequence(0L, __times - 1, {PIECE}L)")))
         .repartition(*df.columns, "__from")
     )
+    pieces = few.unionByName(many)
     copies = pieces.select(
         *df.columns,
         F.explode(
@@ -116,7 +125,7 @@ def _numbered_runs(
     slice of it, and shifted by what the earlier slices hold of the same group.
     """
     columns = df.columns
-    order = list(dict.fromkeys([*keys, *tiebreak, *columns]))
+    order = list(dict.fromkeys([*keys, *_order_within(df, keys, tiebreak)]))
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
     runs = shared_table(
         counted.repartitionByRange(*order).withColumn("__slice", F.spark_partition_id()),
