@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as driver
 from tests.test_correct import setting
-from txclean.catalogue import derived
+from txclean.catalogue import derived, queries
 from txclean.plans.pipeline import clean
 from txclean.shared import shared_folder
 
@@ -22,9 +21,9 @@ def run(spark):
     return clean(derived.raw_transactions(spark, SF_DIR), derived.config(spark))
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_no_python_and_no_cross_joins(spark, name):
-    text = plan(driver.queries()[name](spark, SF_DIR))
+    text = plan(queries()[name](spark, SF_DIR))
     for unwanted in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert unwanted not in text
 
@@ -53,6 +52,19 @@ def test_corrections_are_broadcast_by_size_only(spark):
         assert large.staging.count() == 15_750
 
 
+@pytest.mark.parametrize("log, reads", [("audit_log", 3), ("audit_lineage", 2)])
+def test_reads_of_the_input_by_the_logs(run, log, reads):
+    entries = getattr(run, log)()
+    entries.collect()
+    final = plan(entries).split("== Initial Plan ==")[0]
+    assert final.count("ReadSchema: struct<o_") == reads
+
+
+def test_counts_of_stages_leave_the_names_alone(run):
+    for df in (run.row_counts(), run.violation_counts(), run.repeated_ids()):
+        assert "merchant" not in plan(df) and "regexp" not in plan(df)
+
+
 def test_grouping_is_shared_by_the_counts(run):
     summary = run.summary()
     summary.collect()

@@ -47,26 +47,32 @@ def test_columns_go_by_position_not_by_name(csv):
 @pytest.mark.parametrize(
     "line", ["x,zz,", "x,1,notadate", "x,1", "x,1,,extra", 'x,"",'], ids=str
 )
-def test_bad_rows_stop_the_job_even_in_unused_columns(csv, line):
-    df = csv(f"a,d,t\n{line}\n")
+def test_bad_rows_stop_the_load(csv, line):
     with pytest.raises(Exception, match="(?i)malformed"):
-        df.select("a").collect()
-    with pytest.raises(Exception, match="(?i)malformed"):
-        df.count()
+        csv(f"a,d,t\nx,1,\n{line}\n")
 
 
 def test_line_breaks_in_quotes(csv):
     text = 'a,d,t\n"x\ny",1,\n'
     assert csv(text, multiline=True).first().a == "x\ny"
     with pytest.raises(Exception, match="(?i)malformed"):
-        csv(text).collect()
+        csv(text)
+    # The parts of a broken line fill the columns by themselves.
+    with pytest.raises(ValueError, match="leaves a quote open"):
+        csv('a,b\n1,"x\n2,y"\n', schema="a int, b string")
 
 
 def test_lengths(csv):
     text = "a,d,t\nabc,,\nab    ,,\n"
     assert [r.a for r in csv(text, lengths={"a": 3}).collect()] == ["abc", "ab "]
     with pytest.raises(Exception, match="value too long for a"):
-        csv("a,d,t\nabcd,,\n", lengths={"a": 3}).collect()
+        csv("a,d,t\nabcd,,\n", lengths={"a": 3})
+
+
+def test_load_to_a_named_table(spark, csv, tmp_path):
+    table = f"{tmp_path}/loaded"
+    loaded = csv("a,d,t\nx,1,\n", table=table)
+    assert loaded.collect() == spark.read.parquet(table).collect()
 
 
 def test_conform(spark):

@@ -50,7 +50,31 @@ def _dictionary(spellings) -> str:
     )
 
 
-def _cte(spellings) -> str:
+# Faults of the full table alone: null ids, a shared id, copies that differ.
+_FULL_ID = (
+    "CASE WHEN k % 1511 = 0 THEN NULL WHEN k % 100 = 7 THEN 'T000000007' ELSE {} END"
+)
+_FULL_COPY = (
+    " REPLACE (CASE WHEN k % 40 = 0 THEN 'Other' ELSE merchant_name END AS merchant_name,"
+    " CASE WHEN k % 60 = 0 THEN 'Cash' ELSE category END AS category)"
+)
+# Columns of the full table from those of the derived one.
+_FULL_COLUMNS = (
+    "account_id AS AccountId, transaction_id AS TransactionId, 'O' || transaction_id AS TransactionId_OBIE,"
+    " booking_datetime AS BookingDateTime, value_datetime AS ValueDateTime, instructed_amount AS InstructedAmount,"
+    " transaction_amount AS TransactionAmount, currency AS Currency, original_currency AS OriginalCurrency,"
+    " exchange_rate AS ExchangeRate, CASE WHEN instructed_amount < 0 THEN 'Debit' ELSE 'Credit' END AS TransactionType,"
+    " CAST(CASE WHEN instructed_amount < 0 THEN 5812 END AS INT) AS MerchantCategoryCode, 'BTC123' AS BankTransactionCode,"
+    " 'PBC123' AS ProprietaryBankTransactionCode, 'REF' || transaction_id AS Reference,"
+    " CAST(instructed_amount + 1 AS DECIMAL(12,2)) AS Balance, CAST(NULL AS VARCHAR) AS CounterpartyName,"
+    " '' AS CounterpartyAccount, 'Booked' AS Status, merchant_name, category"
+)
+
+
+def _cte(spellings, full: bool = False) -> str:
+    identity = "'T' || lpad(CAST(CASE WHEN k % 1999 = 1998 THEN k - 1 ELSE k END AS VARCHAR), 9, '0')"
+    if full:
+        identity = _FULL_ID.format(identity)
     return f"""
 WITH lists AS (
   SELECT {_list(MERCHANT_VARIANTS)} AS merchants, {_list(CATEGORIES)} AS categories
@@ -65,7 +89,7 @@ WITH lists AS (
 ), single AS (
   SELECT k,
     'A00' || (o_custkey % 3 + 1) AS account_id,
-    'T' || lpad(CAST(CASE WHEN k % 1999 = 1998 THEN k - 1 ELSE k END AS VARCHAR), 9, '0') AS transaction_id,
+    {identity} AS transaction_id,
     o_orderdate AS booking_datetime,
     CASE WHEN k % 3 = 0 THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS value_datetime,
     amount AS instructed_amount,
@@ -80,7 +104,7 @@ WITH lists AS (
 ), raw AS (
   SELECT * EXCLUDE (k) FROM single
   UNION ALL
-  SELECT * EXCLUDE (k) FROM single WHERE k % 20 = 0
+  SELECT * EXCLUDE (k){_FULL_COPY if full else ""} FROM single WHERE k % 20 = 0
 ), dictionary(id, clean_name, dirty_name) AS (
   VALUES {_dictionary(spellings)}
 ), trimmed AS (
@@ -248,6 +272,7 @@ def _over_final(select: str) -> str:
 def oracle_sql() -> dict[str, str]:
     swapped = _cte(swapped_spellings())
     known = _cte(presets.MERCHANT_SPELLINGS)
+    full = _cte(presets.MERCHANT_SPELLINGS, full=True)
     counts = " UNION ALL ".join(
         f"SELECT '{name}' AS rule, "
         + (
@@ -328,6 +353,16 @@ SELECT label, count(*) AS rows FROM (
       CASE WHEN currency IS NULL THEN 'missing_currency' END) AS errors
     FROM raw) WHERE errors <> '') GROUP BY ALL""",
     }
+    on_full = {
+        "cleaned_transactions_full": f"SELECT {_FULL_COLUMNS} FROM final",
+        "report_view": on_run["cleaning_report"],
+        "full_audit_log": _LOG,
+        "full_audit_lineage": _LINEAGE,
+        "full_duplicates_listed": "SELECT transaction_id AS TransactionId, merchant_name, category, row_num"
+        " FROM numbered_rows WHERE row_num > 1",
+        "full_not_null_key": "SELECT booking_datetime AS BookingDateTime, merchant_name FROM final"
+        " WHERE transaction_id IS NULL",
+    }
     on_tables = {
         "conform_columns": "SELECT CAST(o_orderkey AS INT) AS transaction_number, o_orderdate AS booking_datetime,"
         " CAST(o_totalprice AS DECIMAL(12,2)) AS instructed_amount, o_orderstatus AS status FROM orders",
@@ -362,6 +397,7 @@ SELECT label, count(*) AS rows FROM (
     }
     return {
         **{name: f"{swapped}\n{sql}" for name, sql in on_run.items()},
+        **{name: f"{full}\n{sql}" for name, sql in on_full.items()},
         "merchant_known_spellings": f"{known}\nSELECT merchant_name, count(*) AS rows FROM staging GROUP BY ALL",
         **on_tables,
     }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from txclean.plans import presets
 from txclean.plans.pipeline import CleaningConfig, dictionary_from
+from txclean.sources import TRANSACTION_SCHEMA
 
 CUTOFF = "2001-01-01 00:00:00"
 
@@ -85,6 +86,47 @@ def _pick(values: list[str], index: Column) -> Column:
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _numbered_copies(spark, sf_dir).drop("k", "copy")
+
+
+def full_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 22 columns of the transaction table, with faults of its own: some ids are
+    null, one row in a hundred has the same id, and some copies differ in merchant or
+    category. What the raw transactions lack is told by their key columns, so that
+    copies stay copies."""
+    k, second = F.col("k"), F.col("copy") == 2
+    instructed = F.col("instructed_amount")
+    identity = F.when(k % 1511 == 0, None).when(k % 100 == 7, "T000000007").otherwise(F.col("transaction_id"))
+    columns = {
+        "AccountId": F.col("account_id"),
+        "TransactionId": identity,
+        "TransactionId_OBIE": F.concat(F.lit("O"), identity),
+        "BookingDateTime": F.col("booking_datetime"),
+        "ValueDateTime": F.col("value_datetime"),
+        "RawDateString": F.date_format("booking_datetime", "dd/MM/yyyy HH:mm"),
+        "InstructedAmount": instructed,
+        "TransactionAmount": F.col("transaction_amount"),
+        "Currency": F.col("currency"),
+        "OriginalCurrency": F.col("original_currency"),
+        "ExchangeRate": F.col("exchange_rate"),
+        "TransactionType": F.when(instructed < 0, "Debit").otherwise("Credit"),
+        "MerchantCategoryCode": F.when(instructed < 0, 5812),
+        "BankTransactionCode": F.lit("BTC123"),
+        "ProprietaryBankTransactionCode": F.lit("PBC123"),
+        "Reference": F.concat(F.lit("REF"), identity),
+        "Balance": instructed + 1,
+        "CounterpartyName": F.lit(None),
+        "CounterpartyAccount": F.lit(""),
+        "Status": F.lit("Booked"),
+        "merchant_name": F.when(second & (k % 40 == 0), "Other").otherwise(F.col("merchant_name")),
+        "category": F.when(second & (k % 60 == 0), "Cash").otherwise(F.col("category")),
+    }
+    return _numbered_copies(spark, sf_dir).select(
+        *(columns[f.name].cast(f.dataType).alias(f.name) for f in TRANSACTION_SCHEMA)
+    )
+
+
+def _numbered_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     price = F.col("o_totalprice").cast("decimal(12,2)")
     amount = (
@@ -101,6 +143,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         spark.read.parquet(f"{sf_dir}/orders.parquet")
         .select(
+            k.alias("k"),
             F.concat(F.lit("A00"), F.col("o_custkey") % 3 + 1).alias("account_id"),
             F.concat(F.lit("T"), F.lpad(number.cast("string"), 9, "0")).alias(
                 "transaction_id"
@@ -130,7 +173,6 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                 )
             ).alias("copy"),
         )
-        .drop("copy")
     )
 
 

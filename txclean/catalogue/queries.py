@@ -33,11 +33,9 @@ from txclean.operators import (
     standardise_text,
     summarise_audit,
     unmatched,
-    violation_counts,
-    with_row_num,
 )
 from txclean.plans import presets
-from txclean.plans.pipeline import CleaningResult, clean, dictionary_from
+from txclean.plans.pipeline import CleaningResult, bank_transactions, clean, dictionary_from
 from txclean.shared import shared_folder
 from txclean.sources import conform, read_transactions, write_relations
 
@@ -212,8 +210,7 @@ def merchant_known_spellings(spark, sf_dir):
 
 @query
 def row_numbers(spark, sf_dir):
-    run = _run(spark, sf_dir)
-    return with_row_num(run.staging, run.config.keys, run.config.tiebreak)
+    return _run(spark, sf_dir).numbered()
 
 
 @query
@@ -288,7 +285,11 @@ def _violations(name: str) -> Query:
     return violations
 
 
-_QUERIES["check_primary_key"] = _violations("unique(transaction_id)")
+@query
+def check_primary_key(spark, sf_dir):
+    return _run(spark, sf_dir).repeated_ids()
+
+
 _QUERIES["check_not_null_key"] = _violations("not_null(transaction_id)")
 _QUERIES["check_booking_date"] = _violations("valid_booking_date")
 _QUERIES["check_value_date"] = _violations("valid_value_date")
@@ -316,8 +317,7 @@ def check_currency_codes(spark, sf_dir):
 
 @query
 def constraint_report(spark, sf_dir):
-    run = _run(spark, sf_dir)
-    return violation_counts(run.final, run.config.constraints)
+    return _run(spark, sf_dir).violation_counts()
 
 
 def _joined_rules(df: DataFrame) -> DataFrame:
@@ -449,6 +449,56 @@ def cleaning_report(spark, sf_dir):
     return _run(spark, sf_dir).report()
 
 
+# The 22-column transaction table, read back through its views
+
+
+def _full_run(spark: SparkSession, sf_dir: str) -> CleaningResult:
+    return clean(
+        derived.full_transactions(spark, sf_dir),
+        bank_transactions(dictionary_from(spark, presets.MERCHANT_SPELLINGS), derived.CUTOFF),
+    )
+
+
+@query
+def cleaned_transactions_full(spark, sf_dir):
+    _full_run(spark, sf_dir).publish("cleaned_transactions")
+    return spark.table("cleaned_transactions")
+
+
+@query
+def report_view(spark, sf_dir):
+    _full_run(spark, sf_dir).publish("cleaned_transactions", "cleaning_report")
+    return spark.table("cleaning_report")
+
+
+@query
+def full_audit_log(spark, sf_dir):
+    return _full_run(spark, sf_dir).audit_log()
+
+
+@query
+def full_audit_lineage(spark, sf_dir):
+    return _full_run(spark, sf_dir).audit_lineage()
+
+
+@query
+def full_duplicates_listed(spark, sf_dir):
+    return (
+        _full_run(spark, sf_dir)
+        .duplicates()
+        .select("TransactionId", "merchant_name", "category", "row_num")
+    )
+
+
+@query
+def full_not_null_key(spark, sf_dir):
+    return (
+        check_not_null(["TransactionId"])
+        .violations(_full_run(spark, sf_dir).final)
+        .select("BookingDateTime", "merchant_name")
+    )
+
+
 # Dates, labels, samples, look-ups
 
 

@@ -127,9 +127,12 @@ def _counts_of_rows(flagged: DataFrame, key: str, changes: Changes) -> DataFrame
 
 
 def _changed_pairs(counts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Pairs of different values under one key, each pair once."""
-    old = counts.where("before > 0").select(*by, F.col("value").alias("old"), "before")
-    new = counts.where("after > 0").select(*by, F.col("value").alias("new"), "after")
+    """Pairs of different values under one key, each pair once.
+
+    Each side names both counts, so that the sides have one grouping in common.
+    """
+    old = counts.where("before > 0 AND after >= 0").select(*by, F.col("value").alias("old"), "before")
+    new = counts.where("after > 0 AND before >= 0").select(*by, F.col("value").alias("new"), "after")
     return old.join(new, list(by)).where(~F.col("old").eqNullSafe(F.col("new")))
 
 
@@ -270,6 +273,56 @@ def count_fills_within(
     return count_totals(per_key, [(F.sum(fills), note)])
 
 
+def audit_fills_within(
+    groups: DataFrame, key: str, old: str, new: str, copies: str, note: Note
+) -> DataFrame:
+    """`audit_fills` from groups as in `count_fills_within`."""
+    # Conditions stand inside the sums and the key inside a struct: filters would be
+    # pushed below the groups and keep them from being shared.
+    counted = groups.groupBy(F.struct(F.col(key).alias("key")).alias("of"), F.col(new).alias("new")).agg(
+        F.sum(F.when(F.col(key).isNotNull() & F.col(old).isNull(), F.col(copies)).otherwise(0)).alias("before"),
+        F.count(new).alias("after"),
+    )
+    empty = counted.groupBy("of").agg(F.sum("before").alias("before"), F.sum("after").alias("all_after"))
+    filled = counted.where("after > 0 AND before >= 0").select("of", "new", "after")
+    return _entry(
+        empty.where("before > 0 AND all_after >= 0").join(filled, "of"),
+        "of.key",
+        note,
+        F.lit(None),
+        F.col("new"),
+        _product("before", "after"),
+    )
+
+
+class Told(NamedTuple):
+    """An entry which a row makes by itself, if `when` holds."""
+
+    note: Note
+    when: Column
+    old: Column
+    new: Column
+    entries: Column
+
+
+def audit_told(df: DataFrame, key: str, told: Sequence[Told]) -> DataFrame:
+    """Entries of several kinds in one pass over the rows."""
+    entries = F.array(
+        *(
+            F.struct(
+                F.lit(t.note.column).alias("column_changed"),
+                t.old.cast("string").alias("old_value"),
+                t.new.cast("string").alias("new_value"),
+                F.lit(t.note.stage).alias("change_stage"),
+                F.lit(t.note.reason).alias("change_reason"),
+                F.when(t.when, t.entries.cast(COUNT)).alias("entries"),
+            )
+            for t in told
+        )
+    )
+    return df.select(F.col(key).alias("transaction_id"), F.inline(entries)).where("entries > 0")
+
+
 def audit_duplicates(
     df: DataFrame, keys: Sequence[str], key: str, old: str, new: str, note: Note
 ) -> DataFrame:

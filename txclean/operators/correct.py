@@ -18,9 +18,20 @@ def dictionary_matches(
     `clean_name` and `dirty_name`. The work is one narrow pass over the data to
     find the distinct names, combined before the shuffle; copies of a name, however
     many, cost nothing after it. Names and entries then meet in an equi-join on
-    their deletion keys and the distance is checked on those candidates alone.
+    their deletion keys and the distance is checked on those candidates alone. Names
+    whose length is not within 1 of an entry's have no match and get no keys, however
+    long they are.
     """
-    names = df.select(F.col(col).alias("name")).where("name is not null").distinct()
+    size = F.length(F.lower("dirty_name"))
+    lengths = dictionary.select(F.explode(F.array(size - 1, size, size + 1)).alias("__size")).distinct()
+    names = (
+        df.select(F.col(col).alias("name"))
+        .where("name is not null")
+        .withColumn("__size", F.length(F.lower("name")))
+        .join(lengths, "__size", "left_semi")
+        .select("name")
+        .distinct()
+    )
     name_keys = names.withColumn("key", F.explode(deletion_keys(F.lower("name"))))
     entry_keys = dictionary.select("id", "clean_name", "dirty_name").withColumn(
         "key", F.explode(deletion_keys(F.lower("dirty_name")))

@@ -46,10 +46,18 @@ def _order_within(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str]) -
 
 
 def with_row_num(
-    df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] = (), out: str = "row_num"
+    df: DataFrame,
+    keys: Sequence[str],
+    tiebreak: Sequence[str] = (),
+    out: str = "row_num",
+    key_rows: DataFrame | None = None,
 ) -> DataFrame:
-    """Number the rows of each group equal on `keys` from 1, in `tiebreak` order."""
-    hashed, repeated = with_key_hash(df, keys), repeated_hashes(df, keys)
+    """Number the rows of each group equal on `keys` from 1, in `tiebreak` order.
+
+    `key_rows` is as in `duplicates`.
+    """
+    hashed = with_key_hash(df, keys)
+    repeated = repeated_hashes(df if key_rows is None else key_rows, keys)
     single = hashed.join(repeated, "__hash", "left_anti").select(
         *df.columns, F.lit(1).cast("long").alias(out)
     )
@@ -60,10 +68,19 @@ def with_row_num(
 
 
 def duplicates(
-    df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] = (), out: str = "row_num"
+    df: DataFrame,
+    keys: Sequence[str],
+    tiebreak: Sequence[str] = (),
+    out: str = "row_num",
+    key_rows: DataFrame | None = None,
 ) -> DataFrame:
-    """The rows `deduplicate` removes, with their number (2 and up)."""
-    hashed, repeated = with_key_hash(df, keys), repeated_hashes(df, keys)
+    """The rows `deduplicate` removes, with their number (2 and up).
+
+    `key_rows`, if given, is a frame which takes less work than `df` and has the same
+    keys in as many rows.
+    """
+    hashed = with_key_hash(df, keys)
+    repeated = repeated_hashes(df if key_rows is None else key_rows, keys)
     others = hashed.join(repeated, "__hash", "left_semi").select(*df.columns)
     runs = _numbered_runs(others, keys, tiebreak).where("__last > 1")
     first = F.greatest(F.col("__last") - F.col("__copies") + 1, F.lit(2))

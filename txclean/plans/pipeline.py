@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from txclean.operators import audit, dedup, quality
 from txclean.operators.correct import correct_from_dictionary
-from txclean.operators.profile import row_counts
 from txclean.operators.repair import fill_from, fix_precision
 from txclean.operators.rules import Rules, classify_keywords, relabel_when
 from txclean.operators.standardise import standardise_text
@@ -217,16 +216,43 @@ class CleaningResult:
             final=spark.read.parquet(f"{base}/final"),
         )
 
-    def publish(self, view: str = "cleaned_data") -> None:
+    def publish(self, view: str = "cleaned_data", report_view: str | None = None) -> None:
+        """The final table, and the report if it is given a name, as views."""
         self.final.createOrReplaceTempView(view)
+        if report_view is not None:
+            self.report().createOrReplaceTempView(report_view)
+
+    def numbered(self) -> DataFrame:
+        c = self.config
+        return dedup.with_row_num(self.staging, c.keys, c.tiebreak, key_rows=self.keyed)
 
     def duplicates(self) -> DataFrame:
-        return dedup.duplicates(self.staging, self.config.keys, self.config.tiebreak)
+        c = self.config
+        return dedup.duplicates(self.staging, c.keys, c.tiebreak, key_rows=self.keyed)
 
     def row_counts(self) -> DataFrame:
-        return row_counts(
-            {"raw": self.raw, "staging": self.staging, "deduped": self.deduped, "final": self.final}
+        """Rows of each stage, from the keys alone: staging has the rows of raw, and
+        after it there is one for each group of copies."""
+        rows = F.array(
+            *(
+                F.struct(F.lit(stage).alias("stage"), F.col(count).alias("rows"))
+                for stage, count in (
+                    ("raw", "all"), ("staging", "all"), ("deduped", "kept"), ("final", "kept")
+                )
+            )
+        )
+        counts = audit.row_groups(self.keyed, self.config.keys).agg(
+            F.coalesce(F.sum("copies"), F.lit(0)).cast("long").alias("all"),
+            F.count(F.lit(1)).alias("kept"),
         )
+        return counts.select(F.inline(rows))
+
+    def violation_counts(self) -> DataFrame:
+        """Violations of each rule, which all read key columns only."""
+        return quality.violation_counts(self._survivors(), self.config.constraints)
+
+    def repeated_ids(self) -> DataFrame:
+        return quality.check_unique([self.config.id]).violations(self._survivors())
 
     def enforce(
         self, policy: str = "quarantine", existing: DataFrame | None = None
@@ -242,12 +268,16 @@ class CleaningResult:
     # Log branches, stages compared through the transaction id.
 
     def audit_merchant(self) -> DataFrame:
-        c = self.config
-        return audit.audit_changes(self.raw, self.staging, c.id, c.merchant, presets.MERCHANT_NOTE)
+        return self._audit_text(0)
 
     def audit_category(self) -> DataFrame:
-        c = self.config
-        return audit.audit_changes(self.raw, self.staging, c.id, c.category, presets.CATEGORY_NOTE)
+        return self._audit_text(1)
+
+    def _audit_text(self, *wanted: int) -> DataFrame:
+        changes = [self._text_changes()[i] for i in wanted]
+        return audit.audit_changes_within(
+            self.traced, self.config.id, changes, key_rows=self.keyed
+        )
 
     def _survivors(self) -> DataFrame:
         """Key columns of the final rows, for which it does not matter which of the
@@ -282,16 +312,44 @@ class CleaningResult:
         )
 
     def audit_log(self) -> DataFrame:
+        c = self.config
+        groups = self._groups()
         return audit.audit_log(
-            audit.audit_changes_within(
-                self.traced, self.config.id, self._text_changes(), key_rows=self.keyed
+            self._audit_text(0, 1),
+            audit.audit_fills_within(
+                groups, c.id, "__before", c.amount, "copies", presets.FILL_NOTE
             ),
-            self.audit_fills(),
-            self.audit_duplicates(),
-            self.audit_rates(),
-            self.audit_dates(),
+            audit.audit_told(groups, c.id, self._told()),
+        )
+
+    def _groups(self) -> DataFrame:
+        """The groups of copies, one for each final row, with the amount before filling.
+
+        All counts and entries below read this one frame and filter above it, so that
+        Spark groups the rows once.
+        """
+        c = self.config
+        return fill_from(
+            audit.row_groups(self.keyed, c.keys).withColumn("__before", F.col(c.amount)),
+            c.amount,
+            c.instructed,
         )
 
+    def _told(self) -> list[audit.Told]:
+        """Entries for copies, rates and dates, told by each group of copies itself."""
+        c = self.config
+        nothing, one = F.lit(None), F.lit(1)
+        return [
+            audit.Told(
+                presets.DUPLICATE_NOTE, F.lit(True), F.lit(presets.DUPLICATE_OLD),
+                F.lit(presets.DUPLICATE_NEW), F.col("copies") - 1,
+            ),
+            audit.Told(presets.RATE_NOTE, c.rate_rule, nothing, F.col(c.rate), one),
+            audit.Told(
+                presets.DATE_NOTE, ~c.before_cutoff(c.booking), F.col(c.booking), nothing, one
+            ),
+        ]
+
     # The same log with one entry per row which changed.
 
     def _text_changes(self) -> audit.Changes:
@@ -314,23 +372,18 @@ class CleaningResult:
         )
 
     def audit_lineage(self) -> DataFrame:
+        c = self.config
+        filled = F.col("__before").isNull() & F.col(c.amount).isNotNull()
+        fill = audit.Told(presets.FILL_NOTE, filled, F.lit(None), F.col(c.amount), F.lit(1))
         return audit.audit_log(
-            self.row_changes(),
-            self.row_fills(),
-            self.audit_duplicates(),
-            self.audit_rates(),
-            self.audit_dates(),
+            self.row_changes(), audit.audit_told(self._groups(), c.id, [fill, *self._told()])
         )
 
     # Summary of the log, counted without building it.
 
     def summary(self) -> DataFrame:
         c = self.config
-        groups = fill_from(
-            audit.row_groups(self.keyed, c.keys).withColumn("__before", F.col(c.amount)),
-            c.amount,
-            c.instructed,
-        )
+        groups = self._groups()
         return audit.audit_log(
             audit.count_changes_within(
                 self.traced, c.id, self._text_changes(), key_rows=self.keyed

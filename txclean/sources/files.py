@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txclean.shared import shared_table
 from txclean.sources.schemas import fit_lengths
 
 # Stands for an unquoted empty field, so that it can be told from a quoted one.
@@ -21,15 +22,21 @@ def read_transactions(
     header: bool = True,
     lengths: Mapping[str, int] | None = None,
     multiline: bool = False,
+    table: str | None = None,
 ) -> DataFrame:
-    """CSV by position, with types; any bad row stops the job.
+    """Load CSV by position, with types, to a parquet table; any bad row stops the load.
 
     An empty field is null, a quoted empty field is an empty text, outer spaces
     are kept and `""` inside quotes is a quote. `lengths` holds text columns to
     declared lengths. Files are split between tasks; a file with line breaks
-    inside quotes cannot be, and needs `multiline=True` (without it such a file is
-    refused, not misread).
+    inside quotes cannot be, and needs `multiline=True`: without it, a file with a
+    line that leaves a quote open is refused.
+
+    Every column is written, so every value is converted and checked whatever is
+    read later. `table` is the path of the new table, by default one in the shared folder.
     """
+    if not multiline:
+        _refuse_open_quotes(spark, path)
     df = (
         spark.read.schema(schema)
         .option("header", header)
@@ -41,10 +48,19 @@ def read_transactions(
         .option("multiLine", multiline)
         .csv(path)
     )
-    # Spark converts only the columns a query uses. This condition, which always
-    # holds, uses them all, so that a bad value is found wherever it is.
-    df = df.where(F.pmod(F.xxhash64(*df.columns), F.lit(2)) >= 0)
-    return fit_lengths(df, lengths) if lengths else df
+    if lengths:
+        df = fit_lengths(df, lengths)
+    if table is None:
+        return shared_table(df, "transactions")
+    df.write.parquet(table)
+    return spark.read.schema(df.schema).parquet(table)
+
+
+def _refuse_open_quotes(spark: SparkSession, path: str) -> None:
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    if not spark.read.text(path).where(quotes % 2 == 1).isEmpty():
+        raise ValueError(f"malformed: a line of {path} leaves a quote open; is multiline=True meant?")
 
 
 def conform(df: DataFrame, mapping: Mapping[str, tuple[str, str]]) -> DataFrame:
