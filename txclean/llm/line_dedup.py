@@ -29,7 +29,21 @@ SIMILARITY = 0.8
 #: Lines with fewer words always stay.
 LEAST_WORDS = 3
 REMEMBERED = 300_000
-_bits: dict[str, int] = {}
+
+
+class Numbers(dict):
+    """Numbers words as they come; `fresh` are those without a row in the table."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.fresh.append(word)
+        number = self[word] = len(self)
+        return number
+
+
+_numbers = Numbers()
 # A row for each remembered word: its hash's bits, a byte each, eight bytes to a number.
 _table = np.zeros((1024, 8), np.uint64)
 #: So many bytes of 0 and 1 add up without a carry into the next.
@@ -42,28 +56,17 @@ def normalised(line: str) -> list[str]:
 
 def simhashes(lines: list[list[str]]) -> np.ndarray:
     """Sign, bit by bit, of the sum over a line's words of their hashes' bits."""
-    import xxhash
-
-    global _table
-    if len(_bits) > REMEMBERED:
-        _bits.clear()
-    new = [w for w in set(chain.from_iterable(lines)) if w not in _bits]
-    if new:
-        hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in new], np.uint64)
-        first = len(_bits)
-        if first + len(new) > len(_table):
-            grown = np.zeros((2 * (first + len(new)), 8), np.uint64)
-            grown[:first] = _table[:first]
-            _table = grown
-        bits = np.unpackbits(hashed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        _table[first : first + len(new)] = bits.view(np.uint64)
-        _bits.update(zip(new, range(first, first + len(new)), strict=True))
+    if len(_numbers) > REMEMBERED:
+        _numbers.clear()
     out = np.zeros(len(lines), np.uint64)
     sizes = np.array([len(words) for words in lines], np.int64)
     at = 0
     while at < len(lines):  # some lines at a time; a line alone may be longer
         stop = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), 200_000, "right")) + at)
-        index = np.fromiter(map(_bits.__getitem__, chain.from_iterable(lines[at:stop])), np.int64)
+        index = np.fromiter(
+            map(_numbers.__getitem__, chain.from_iterable(lines[at:stop])), np.int64, int(sizes[at:stop].sum())
+        )
+        _fill_table()
         # Stretches of a line are added up first, then the stretches.
         pieces = -(-sizes[at:stop] // STRETCH)
         heads = np.cumsum(pieces) - pieces
@@ -78,6 +81,25 @@ def simhashes(lines: list[list[str]]) -> np.ndarray:
     return out
 
 
+def _fill_table() -> None:
+    """Rows for the fresh words, the last of those that have a number."""
+    import xxhash
+
+    global _table
+    fresh = _numbers.fresh
+    if not fresh:
+        return
+    first = len(_numbers) - len(fresh)
+    if len(_numbers) > len(_table):
+        grown = np.zeros((2 * len(_numbers), 8), np.uint64)
+        grown[:first] = _table[:first]
+        _table = grown
+    hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in fresh], np.uint64)
+    bits = np.unpackbits(hashed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    _table[first : len(_numbers)] = bits.view(np.uint64)
+    fresh.clear()
+
+
 def block_keys(prints: np.ndarray) -> list[np.ndarray]:
     parts, shift = [], 0
     for width in BLOCKS:
@@ -171,14 +193,20 @@ def dedup_lines(
     def cut(batch):
         import xxhash
 
-        at, line_no, lines = [], [], []
+        at, line_no, which, lines = [], [], [], []
+        known: dict[str, int] = {}  # a line's place in `lines`, -1 if it is too short
         for i, text in enumerate(batch.column("text").to_pylist()):
             for n, line in enumerate(text.split("\n")):
-                words = normalised(line)
-                if len(words) >= least_words:
+                place = known.get(line)
+                if place is None:
+                    words = normalised(line)
+                    place = known[line] = len(lines) if len(words) >= least_words else -1
+                    if place >= 0:
+                        lines.append(words)
+                if place >= 0:
                     at.append(i)
                     line_no.append(n)
-                    lines.append(words)
+                    which.append(place)
         if lines:
             same = pa.array(at)
             hashed = np.array([xxhash.xxh3_64_intdigest(" ".join(w)) for w in lines], np.uint64)
@@ -186,8 +214,8 @@ def dedup_lines(
                 "doc_id": batch.column("doc_id").take(same),
                 "row": batch.column("row").take(same),
                 "line_no": pa.array(line_no, pa.int32()),
-                "line": pa.array(hashed.view(np.int64)),
-                "fp": pa.array(simhashes(lines).view(np.int64)),
+                "line": pa.array(hashed[which].view(np.int64)),
+                "fp": pa.array(simhashes(lines)[which].view(np.int64)),
             }
 
     found = shared_table(
