@@ -213,6 +213,30 @@ def test_edit_distance():
         assert [line_dedup.within(a, b, m) for m in range(8)] == [plain(a, b) <= m for m in range(8)]
 
 
+def test_edit_distance_of_long_lines():
+    """A walk never accepts what the distance refuses, and columns left early change nothing."""
+    rng = random.Random(6)
+    for _ in range(150):
+        a = rng.choices(["on", "the", "tion", "er", "and"], k=rng.randint(5, 30))
+        b = [w if rng.random() < 0.8 else rng.choice(["x", "onward", ""]) for w in a if rng.random() < 0.95]
+        x, y = " ".join(a), " ".join(b)
+        row = list(range(len(y) + 1))
+        for n, c in enumerate(x, 1):
+            new = [n]
+            for m, d in enumerate(y, 1):
+                new.append(min(row[m] + 1, new[-1] + 1, row[m - 1] + (c != d)))
+            row = new
+        for most in range(row[-1] - 3, row[-1] + 4):
+            assert line_dedup.within(x, y, most) == (row[-1] <= most)
+            assert row[-1] <= most or not line_dedup.walked(x.split(" "), y.split(" "), most)
+
+
+def test_normal_form_of_lines():
+    texts = ["Été A1_b\n\n  don't\x85x\xa0y ª²", "ΣΟΦΟΣ naïve\nİx 🙂 Straße\n", "", "\n"]
+    for text in texts:
+        assert [x.split() for x in line_dedup.spaced(text)] == [line_dedup.normalised(x) for x in text.split("\n")]
+
+
 # Benchmark and repeated passages
 
 

@@ -10,10 +10,11 @@ stays, the first by document id and place.
 from __future__ import annotations
 
 import re
-from itertools import chain, combinations
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,51 +29,50 @@ MOST_BITS = 3
 SIMILARITY = 0.8
 #: Lines with fewer words always stay.
 LEAST_WORDS = 3
-REMEMBERED = 300_000
-
-
-class Numbers(dict):
-    """Numbers words as they come; `fresh` are those without a row in the table."""
-
-    def __init__(self):
-        self.fresh: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self.fresh.append(word)
-        number = self[word] = len(self)
-        return number
-
-
-_numbers = Numbers()
-# A row for each remembered word: its hash's bits, a byte each, eight bytes to a number.
-_table = np.zeros((1024, 8), np.uint64)
 #: So many bytes of 0 and 1 add up without a carry into the next.
 STRETCH = 255
+#: Letters and digits of Latin-1 as they are in lower case, a space for all else but line feeds.
+PLAIN = bytes(ord(c.lower()) if WORD.match(c) or c == "\n" else 32 for c in map(chr, range(256)))
 
 
 def normalised(line: str) -> list[str]:
     return WORD.findall(line.lower())
 
 
-def simhashes(lines: list[list[str]]) -> np.ndarray:
-    """Sign, bit by bit, of the sum over a line's words of their hashes' bits."""
-    if len(_numbers) > REMEMBERED:
-        _numbers.clear()
+def spaced(text: str) -> list[str]:
+    """The lines of a text, each as its normalised words with spaces around them."""
+    try:
+        return text.encode("latin-1").translate(PLAIN).decode("latin-1").split("\n")
+    except UnicodeEncodeError:
+        if "\n" in text:
+            return [line for part in text.split("\n") for line in spaced(part)]
+        return [" ".join(normalised(text))]
+
+
+def simhashes(lines: pa.ListArray | list[list[str]]) -> np.ndarray:
+    """Sign, bit by bit, of the sum over a line's words of their hashes' bits; no line is empty."""
+    import xxhash
+
+    lines = lines if isinstance(lines, pa.Array) else pa.array(lines, pa.list_(pa.string()))
     out = np.zeros(len(lines), np.uint64)
-    sizes = np.array([len(words) for words in lines], np.int64)
+    sizes = pc.list_value_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
+    words = lines.flatten().dictionary_encode()
+    number = words.indices.to_numpy()
+    hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in words.dictionary.to_pylist()], np.uint64)
+    # A row for each word: its hash's bits, a byte each, eight bytes to a number.
+    bits = np.unpackbits(hashed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view(np.uint64)
+    ends = np.cumsum(sizes)
     at = 0
     while at < len(lines):  # some lines at a time; a line alone may be longer
-        stop = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), 200_000, "right")) + at)
-        index = np.fromiter(
-            map(_numbers.__getitem__, chain.from_iterable(lines[at:stop])), np.int64, int(sizes[at:stop].sum())
-        )
-        _fill_table()
+        first = int(ends[at] - sizes[at])
+        stop = max(at + 1, int(np.searchsorted(ends, first + 200_000, "right")))
+        index = number[first : int(ends[stop - 1])]
         # Stretches of a line are added up first, then the stretches.
         pieces = -(-sizes[at:stop] // STRETCH)
         heads = np.cumsum(pieces) - pieces
         within_line = np.arange(pieces.sum()) - np.repeat(heads, pieces)
-        begins = np.repeat(np.cumsum(sizes[at:stop]) - sizes[at:stop], pieces) + within_line * STRETCH
-        sums = np.add.reduceat(_table[index], begins, axis=0).view(np.uint8)
+        begins = np.repeat(ends[at:stop] - sizes[at:stop] - first, pieces) + within_line * STRETCH
+        sums = np.add.reduceat(bits[index], begins, axis=0).view(np.uint8)
         if len(sums) > stop - at:
             sums = np.add.reduceat(sums, heads, axis=0, dtype=np.int64)
         most = sums.astype(np.int64) * 2 > sizes[at:stop, None]
@@ -81,25 +81,6 @@ def simhashes(lines: list[list[str]]) -> np.ndarray:
     return out
 
 
-def _fill_table() -> None:
-    """Rows for the fresh words, the last of those that have a number."""
-    import xxhash
-
-    global _table
-    fresh = _numbers.fresh
-    if not fresh:
-        return
-    first = len(_numbers) - len(fresh)
-    if len(_numbers) > len(_table):
-        grown = np.zeros((2 * len(_numbers), 8), np.uint64)
-        grown[:first] = _table[:first]
-        _table = grown
-    hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in fresh], np.uint64)
-    bits = np.unpackbits(hashed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    _table[first : len(_numbers)] = bits.view(np.uint64)
-    fresh.clear()
-
-
 def block_keys(prints: np.ndarray) -> list[np.ndarray]:
     parts, shift = [], 0
     for width in BLOCKS:
@@ -112,7 +93,7 @@ def block_keys(prints: np.ndarray) -> list[np.ndarray]:
 
 
 def within(a: str, b: str, most: int) -> bool:
-    """Whether the edit distance is at most `most` (Myers' bit vectors)."""
+    """Whether the edit distance is at most `most` (Myers' bit vectors, left as soon as it can't be)."""
     if abs(len(a) - len(b)) > most:
         return False
     start = 0
@@ -128,30 +109,58 @@ def within(a: str, b: str, most: int) -> bool:
     places: dict[str, int] = {}
     for at, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << at
-    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    plus, minus, distance = full, 0, len(a)
-    for n, c in enumerate(b, 1):
-        eq = places.get(c, 0)
-        across = eq | minus
-        eq |= ((eq & plus) + plus) ^ plus
-        up = minus | (full & ~(eq | plus))
-        down = plus & eq
-        if up & top:
-            distance += 1
-        elif down & top:
-            distance -= 1
-        if distance - (len(b) - n) > most:
+    full, plus, minus = (1 << len(a)) - 1, (1 << len(a)) - 1, 0
+    size = -(-len(a) // 8)
+    left = len(a) - np.arange(len(a) + 1)  # letters of a after each row
+    n = 0
+    while n < len(b):
+        # No column before `most` can rule a match out; then one in a few is looked at.
+        stop = min(len(b), n + most // 8 + 1 if n else most + 1)
+        for c in b[n:stop]:
+            eq = places.get(c, 0)
+            across = eq | minus
+            eq |= ((eq & plus) + plus & full) ^ plus
+            up = (minus | full ^ (eq | plus)) << 1 & full | 1
+            down = (plus & eq) << 1 & full
+            plus = down | full ^ (across | up)
+            minus = up & across
+        n = stop
+        rise = np.frombuffer(plus.to_bytes(size, "little") + minus.to_bytes(size, "little"), np.uint8)
+        rise = np.unpackbits(rise.reshape(2, -1), axis=1, bitorder="little")[:, : len(a)].view(np.int8)
+        column = np.concatenate([[n], n + np.cumsum(rise[0] - rise[1], dtype=np.int64)])
+        # From each row at least the difference of what is left is still to pay.
+        if (column + np.abs(left - (len(b) - n))).min() > most:
             return False
-        up = (up << 1 | 1) & full
-        down = down << 1 & full
-        plus = down | (full & ~(across | up))
-        minus = up & across
-    return distance <= most
+    return True
+
+
+def walked(a: list[str], b: list[str], most: int) -> bool:
+    """Whether one walk along the words changes a to b by at most `most` characters.
+
+    The walk is some way of editing, seldom the shortest: True proves a distance, False nothing.
+    """
+    i = j = cost = 0
+    while i < len(a) and j < len(b) and cost <= most:
+        if a[i] != b[j]:
+            after_a, after_b = a[i + 1 : i + 2], b[j + 1 : j + 2]
+            if after_a != after_b and after_a == [b[j]]:
+                cost += len(a[i]) + 1
+                j -= 1
+            elif after_a != after_b and after_b == [a[i]]:
+                cost += len(b[j]) + 1
+                i -= 1
+            else:
+                cost += max(len(a[i]), len(b[j]))
+        i += 1
+        j += 1
+    return cost + sum(len(w) + 1 for w in a[i:] + b[j:]) <= most
 
 
 def similar(a: str, b: str, similarity: float = SIMILARITY) -> bool:
-    longest = max(len(a), len(b))
-    return within(a, b, int(longest * (1 - similarity) + 1e-9))
+    most = int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
+    if abs(len(a) - len(b)) > most:
+        return False
+    return walked(a.split(" "), b.split(" "), most) or within(a, b, most)
 
 
 def _near_bits(rows, i, js):
@@ -162,10 +171,6 @@ def _near_bits(rows, i, js):
 def _near_text(rows, i, js):
     hit = _near_bits(rows, i, js)
     texts = rows["norm"]
-    if "size" not in rows:
-        rows["size"] = np.array([len(t) for t in texts])
-    size = rows["size"]
-    hit &= np.abs(size[js] - size[i]) <= np.maximum(size[js], size[i]) * (1 - SIMILARITY) + 1e-9
     own = np.broadcast_to(i, js.shape)
     for at in np.flatnonzero(hit):
         hit[at] = similar(texts[own[at]], texts[js[at]])
@@ -193,29 +198,30 @@ def dedup_lines(
     def cut(batch):
         import xxhash
 
-        at, line_no, which, lines = [], [], [], []
-        known: dict[str, int] = {}  # a line's place in `lines`, -1 if it is too short
+        at, line_no, which = [], [], []
+        known: dict[str, int] = {}  # a line's place among the distinct ones
         for i, text in enumerate(batch.column("text").to_pylist()):
-            for n, line in enumerate(text.split("\n")):
-                place = known.get(line)
-                if place is None:
-                    words = normalised(line)
-                    place = known[line] = len(lines) if len(words) >= least_words else -1
-                    if place >= 0:
-                        lines.append(words)
-                if place >= 0:
-                    at.append(i)
-                    line_no.append(n)
-                    which.append(place)
-        if lines:
-            same = pa.array(at)
-            hashed = np.array([xxhash.xxh3_64_intdigest(" ".join(w)) for w in lines], np.uint64)
+            for n, line in enumerate(spaced(text)):
+                at.append(i)
+                line_no.append(n)
+                which.append(known.setdefault(line, len(known)))
+        words = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pa.array(known, pa.string())))
+        # What is split from an empty line is one empty word.
+        long = pc.list_value_length(words).to_numpy(zero_copy_only=False) >= max(least_words, 1)
+        long &= pc.not_equal(pc.list_element(words, 0), "").to_numpy(zero_copy_only=False)
+        if long.any():
+            words = words.filter(pa.array(long))
+            place, which = np.cumsum(long) - 1, np.array(which)
+            taken = long[which]
+            same, which = pa.array(np.array(at)[taken]), place[which[taken]]
+            joined = pc.binary_join(words, " ").to_pylist()
+            hashed = np.array([xxhash.xxh3_64_intdigest(line) for line in joined], np.uint64)
             yield {
                 "doc_id": batch.column("doc_id").take(same),
                 "row": batch.column("row").take(same),
-                "line_no": pa.array(line_no, pa.int32()),
+                "line_no": pa.array(np.array(line_no)[taken], pa.int32()),
                 "line": pa.array(hashed[which].view(np.int64)),
-                "fp": pa.array(simhashes(lines)[which].view(np.int64)),
+                "fp": pa.array(simhashes(words)[which].view(np.int64)),
             }
 
     found = shared_table(
