@@ -9,7 +9,17 @@ import numpy as np
 import pytest
 
 from tests.llm.brute import SF_DIR, WORD, exact_groups, rows_of, sha
-from txclean.llm import decontamination, graph, line_dedup, queries, simhash_dedup, substring_dedup, toxicity
+from txclean.llm import (
+    decontamination,
+    graph,
+    line_dedup,
+    queries,
+    shingle_dedup,
+    simhash_dedup,
+    stages,
+    substring_dedup,
+    toxicity,
+)
 from txclean.llm.chat import format_conversations, read_back
 from txclean.llm.exact_dedup import build_index, exact_duplicates
 from txclean.llm.html_extraction import extract, parse
@@ -155,6 +165,39 @@ def test_simhash(spark, edge, empty):
     assert simhash_dedup.near_duplicates(empty).count() == 0
 
 
+def shingle_sets(docs):
+    words = {d["doc_id"]: (d["text"] or "").encode().lower().split() for d in docs}
+    return {
+        i: {tuple(ws[k : k + 5]) for k in range(max(1, len(ws) - 4))} if ws else set() for i, ws in words.items()
+    }
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_near_dedup_stage_goes_by_shingles(spark, edge, empty):
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+
+    def changed(*places):
+        return " ".join("new" + str(n) if n in places else w for n, w in enumerate(base))
+
+    # Similarities to the first: 1, 0.90, 0.81, 0.73.
+    texts = [" ".join(base), " ".join(base).upper(), changed(50), changed(30, 70), changed(20, 45, 80)]
+    rows = [(n, t) for n, t in enumerate(texts)]
+    kept = stages.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF_DIR)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 4]
+
+    docs = rows_of("documents")
+    sets = shingle_sets(docs)
+    expected = components(sorted(sets), lambda a, b: jaccard(sets[a], sets[b]) >= 0.8)
+    got = {r.doc_id: r.component_id for r in shingle_dedup.similar_documents(spark.createDataFrame(docs)).collect()}
+    assert got == expected
+    assert sorted(str(r.doc_id) for r in stages.near_dedup(spark, edge, SF_DIR).collect()) == ["1", "4", "6", "None"]
+    assert shingle_dedup.similar_documents(empty).count() == 0
+
+
 def test_large_buckets_go_in_blocks(spark, monkeypatch):
     rng = random.Random(5)
     prints = sorted({rng.getrandbits(6) << 3 for _ in range(60)} | {1 << 40})
