@@ -292,6 +292,19 @@ def test_masks_hit_whichever_three_words_change():
         )
 
 
+def test_short_items_are_found_as_by_brute_force():
+    found, expected = [], []
+    for n in range(1, 15):
+        item = [f"w{at}" for at in range(n)]
+        seeds = decontamination.seeds_of([(1, " ".join(item))])
+        for changed in itertools.chain.from_iterable(itertools.combinations(range(n), k) for k in range(4)):
+            words = ["pad", *("x" if at in changed else w for at, w in enumerate(item)), "pad"]
+            got = decontamination.passages(decontamination.hashes_of(words), seeds, 15, 0.8)
+            found.append((n, changed, [(p["start"], p["stop"], p["equal"]) for p in got]))
+            expected.append((n, changed, [(1, n + 1, n - len(changed))] if 5 * (n - len(changed)) >= 4 * n else []))
+    assert found == expected
+
+
 def test_decontamination(spark, edge, empty):
     item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
     words = item.split()

@@ -8,8 +8,10 @@ so that words which were exchanged don't hide a passage.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -23,8 +25,6 @@ WORD = re.compile(r"[^\W_]+")
 MASKS = ("1111011", "11001000111", "11010110001")
 #: Words that two texts must share side by side, and how many of them must be equal.
 OVERLAP, SIMILARITY = 15, 0.8
-#: Items with fewer words than this are not looked for.
-LEAST = 5
 #: Words of the benchmark that are looked for in one pass over the documents.
 PASS_WORDS = 2_000_000
 REMEMBERED = 500_000
@@ -58,6 +58,15 @@ def seed_hashes(hashes: np.ndarray, mask: str) -> np.ndarray:
     return total
 
 
+def short_masks(words: int, similarity: float = SIMILARITY) -> list[str]:
+    """Masks over all of an item's words, one of which hits whichever words are exchanged
+    as far as the similarity allows: of so many groups and two more, each leaves out so many."""
+    changed = words - math.ceil(similarity * words - 1e-9)
+    parts = min(words, changed + 2)
+    group = [at * parts // words for at in range(words)]
+    return ["".join("01"[g not in out] for g in group) for out in combinations(range(parts), changed)]
+
+
 @dataclass
 class Seeds:
     """Hashes of one pass's items: by mask, sorted, with item number and place."""
@@ -69,16 +78,16 @@ class Seeds:
     marks: list[np.ndarray]
 
 
-def seeds_of(rows: list[tuple], overlap: int = OVERLAP) -> Seeds:
-    """`rows`: (id, text). Short items are also looked for by one mask over all of their words."""
+def seeds_of(rows: list[tuple], overlap: int = OVERLAP, similarity: float = SIMILARITY) -> Seeds:
+    """`rows`: (id, text). Short items are also looked for by masks over all of their words."""
     found = [(i, hashes_of(words_of(t or ""))) for i, t in rows]
-    found = [(i, h) for i, h in found if len(h) >= LEAST]
+    found = [(i, h) for i, h in found if len(h)]
     ids, items = [i for i, _ in found], [h for _, h in found]
     short = sorted({len(h) for h in items if len(h) < overlap})
-    masks = [*MASKS, *("1" * n for n in short)]
+    masks = [*MASKS, *(m for n in short for m in short_masks(n, similarity))]
     tables, marks = [], []
-    for mask in masks:
-        whole = mask not in MASKS
+    for number, mask in enumerate(masks):
+        whole = number >= len(MASKS)
         parts = [
             (seed_hashes(h, mask), k)
             for k, h in enumerate(items)
@@ -145,9 +154,8 @@ def find_passages(
     Texts are read as lower-case words of letters and digits. A document holds an item
     if `overlap` neighbouring words of the item, or all if it has fewer, stand in it with at
     least `similarity` of them equal place by place. With the defaults every such
-    overlap of 15 words is hit by a seed; items of 5 to 14 words are found if equal, and
-    by chance of a seed if not; shorter ones are not looked for. start and stop count
-    words. Null texts have no words, null and repeated items are harmless, and without
+    overlap of 15 words is hit by a seed, and so is every item of 14 words or fewer; of
+    fewer than 5 words all must be equal. start and stop count words. Null texts have no words, null and repeated items are harmless, and without
     items nothing is found. The index of a pass is broadcast; it holds about
     `pass_words` words of whole items, and larger benchmarks take several passes over
     the documents.
@@ -163,7 +171,7 @@ def find_passages(
 
     def one_pass(rows: DataFrame, number: int) -> DataFrame:
         part = items.where(F.pmod(F.xxhash64("item"), F.lit(passes)) == number)
-        index = spark.sparkContext.broadcast(seeds_of([tuple(r) for r in part.toLocalIterator()], overlap))
+        index = spark.sparkContext.broadcast(seeds_of([tuple(r) for r in part.toLocalIterator()], overlap, similarity))
 
         def work(batch):
             docs = [words_of(t) for t in batch.column("__text").to_pylist()]
