@@ -389,3 +389,12 @@ def test_toxicity(spark, edge, empty):
     assert toxicity.score(edge, model).count() == len(EDGE)
     none = toxicity.train(empty, df.select("doc_id", "toxic"))
     assert all(r.score < 0.5 for r in toxicity.score(edge, none).collect())
+
+
+def test_spelt_insults_across_sentences_and_in_long_texts():
+    model = toxicity.Model(toxicity.Landmarks(["brozzle"]), np.array([2.0]), -1.0)
+    clean = ["river"] * 200
+    texts = ["b. r. o. z. z. l. e.", "Plan a. b r o z z l e\nq w r t p s d f g h j k"]
+    texts += [" ".join([*clean[:n], *"brozzle", *clean]) for n in range(30, 42)]
+    values = toxicity.Reader(model).documents([*texts, "r. i. v. e. r. s.", " ".join(clean)])
+    assert [v > 0 for v in values] == [True] * len(texts) + [False, False]

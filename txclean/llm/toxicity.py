@@ -15,7 +15,6 @@ from __future__ import annotations
 import math
 import re
 import string
-from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,8 +32,6 @@ LETTERS, SPAN, DECAY = 3, 5, 0.8
 COST, OTHERS = 3000.0, 4.0
 #: Triples are told apart by so many bits of a hash.
 BITS = 20
-#: Words of a sentence; a longer one is cut.
-SENTENCE = 40
 #: Remembered words of a worker before it starts afresh.
 REMEMBERED = 1_000_000
 
@@ -113,13 +110,6 @@ class Landmarks:
         return out
 
 
-def sentences(text: str) -> Iterable[list[str]]:
-    for sentence in BREAK.split(text):
-        tokens = sentence.split()
-        for start in range(0, len(tokens), SENTENCE):
-            yield tokens[start : start + SENTENCE]
-
-
 def spelt(tokens: list[str]) -> list[str]:
     """Words put together from runs of single letters, `i d i o t`."""
     out, run = [], ""
@@ -134,6 +124,12 @@ def spelt(tokens: list[str]) -> list[str]:
     return out
 
 
+def runs_of(text: str) -> set[str]:
+    """Spelt words of the whole text, as marks between letters can look like the ends of
+    sentences, and of each sentence, as letters of the next one may follow."""
+    return {w for part in [text, *BREAK.split(text)] for w in spelt(part.split())}
+
+
 def forms(token: str) -> set[str]:
     """How a token may be meant: as it stands, and without the marks within."""
     word = word_of(token)
@@ -192,8 +188,7 @@ class Reader:
         for text, ts in zip(texts, tokens, strict=True):
             worst = max(map(known.__getitem__, ts), default=bias)
             if SPELT.search(text):
-                runs = [w for s in sentences(text) for w in spelt(s)]
-                worst = max([worst, *self.model.values(runs).tolist()])
+                worst = max([worst, *self.model.values(sorted(runs_of(text))).tolist()])
             out.append(worst)
         return out
 
@@ -366,7 +361,7 @@ def train(
 
     def words_in(text: str) -> set[str]:
         found = {w for t in set(text.split()) for w in forms(t)}
-        return found | {w for s in sentences(text) for w in spelt(s)}
+        return found | runs_of(text)
 
     def vocabulary(batch):
         out: dict = {"word": [], "toxic": []}
