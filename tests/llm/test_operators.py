@@ -240,6 +240,19 @@ def test_lines(spark, edge, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_short_lines_repeat_in_no_result(spark):
+    docs = [(d["doc_id"], d["text"]) for d in rows_of("documents")]
+    docs += [(-1, "Read more\n全文公开发布\n...\n\nx"), (-2, "x\nread  MORE!\n全文公开发布。\n...\n\ny")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in stages.line_dedup(spark, df, SF_DIR).collect()}
+    assert left[-2] == "x\nread  MORE!\n全文公开发布。\n...\n\ny" and left[-1] == "...\n"
+    lines = [w for t in left.values() for x in t.split("\n") if (w := tuple(line_dedup.normalised(x)))]
+    assert len(lines) == len(set(lines))
+    places = [w for d in rows_of("documents") for x in d["text"].split("\n") if (w := tuple(line_dedup.normalised(x)))]
+    dropped = queries.QUERIES["op8_line_dedup"](spark, SF_DIR).agg({"n_dropped": "sum"}).first()[0]
+    assert dropped >= len(places) - len(set(places))
+
+
 def test_edit_distance():
     def plain(a, b):
         row = list(range(len(b) + 1))

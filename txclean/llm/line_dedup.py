@@ -27,7 +27,7 @@ WORD = re.compile(r"[^\W_]+")
 BLOCKS = (13, 13, 13, 13, 12)
 MOST_BITS = 3
 SIMILARITY = 0.8
-#: Lines with fewer words always stay.
+#: Lines with fewer words stay unless the caller asks for less; the query and the stage ask for 1.
 LEAST_WORDS = 3
 #: So many bytes of 0 and 1 add up without a carry into the next.
 STRETCH = 255
@@ -186,7 +186,7 @@ def dedup_lines(
     Lines end at line feeds. Two lines are linked if their words' SimHashes differ in at
     most 3 bits and their words, joined by one space, have an edit similarity (1 less distance over the
     longer length) of 0.8 or more; equal words are linked. Lines with fewer than
-    `least_words` words stay. A null text stays null and has no line. Rows with a null id
+    `least_words` words stay; with 1 only those without letters and digits do. A null text stays null and has no line. Rows with a null id
     neither lose lines nor count. Rows that repeat an id and a text are one document and
     lose the same lines. An empty table gives none.
     """

@@ -114,7 +114,8 @@ def op7_chat(spark, sf_dir):
 
 @query
 def op8_line_dedup(spark, sf_dir):
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs, least_words=1).select(
         "doc_id",
         F.col("__lines").cast("long").alias("n_lines"),
         F.col("__dropped").cast("long").alias("n_dropped"),
