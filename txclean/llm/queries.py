@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txclean.llm import neighbour_quality
 from txclean.llm.chat import format_conversations, read_back
 from txclean.llm.common import table
 from txclean.llm.decontamination import find_passages
@@ -15,7 +16,9 @@ from txclean.llm.html_extraction import extract
 from txclean.llm.line_dedup import dedup_lines
 from txclean.llm.sentencepiece_codec import encode_documents
 from txclean.llm.simhash_dedup import near_duplicates
+from txclean.llm.spelling import spelling_variants
 from txclean.llm.substring_dedup import remove_duplicate_spans
+from txclean.llm.token_alignment import align_documents
 from txclean.llm.token_counts import count_tokens
 from txclean.llm.toxicity import Model, score, train
 
@@ -34,9 +37,9 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def held_out(column: str = "doc_id"):
+def held_out(column: str = "doc_id", folds: int = 5, fold: int = 0):
     """Rows whose labels are not learnt."""
-    return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(5)) == 0
+    return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(folds)) == fold
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str) -> Model:
@@ -143,6 +146,34 @@ def op10_substring_dedup(spark, sf_dir):
     return remove_duplicate_spans(table(spark, sf_dir, "documents"), keep_text=False).drop("removed")
 
 
+@query
+def op11_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aside = held_out(folds=3, fold=1)
+    model = neighbour_quality.train(docs, table(spark, sf_dir, "labels").where(~aside))
+    return neighbour_quality.score(docs, model).select(
+        "doc_id",
+        aside.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op12_alignment(spark, sf_dir):
+    documents, _ = align_documents(
+        table(spark, sf_dir, "documents"),
+        tokenizer("byte_bpe_50k.json"),
+        tokenizer("piece_bpe_32k.model"),
+    )
+    return documents
+
+
+@query
+def op13_spelling(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
