@@ -5,6 +5,8 @@ from contextlib import contextmanager
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from txclean.operators import correct_from_dictionary, correction_map, dictionary_matches
 from txclean.plans import presets
 from txclean.plans.pipeline import dictionary_from
@@ -85,3 +87,43 @@ def test_known_spellings_lead_to_their_clean_name(spark):
     expected = {d: c for c, ds in presets.MERCHANT_SPELLINGS.items() for d in ds}
     got = correction_map(names(spark, expected), "name", dictionary).collect()
     assert {r["name"]: r.clean_name for r in got} == expected
+
+
+@pytest.mark.parametrize("distance", [1, 2, 3])
+def test_matches_at_a_distance_equal_all_pairs(spark, distance):
+    import random
+
+    from txclean.operators import dictionary_matches
+
+    rng = random.Random(distance)
+    words = {"".join(rng.choices("abB", k=rng.randint(0, 9))) for _ in range(120)} | {"é", "İx", "x" * 5000}
+    names, known = sorted(words)[::2], sorted(words)[1::2] + ["ab", ""]
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, before = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        return row[-1]
+
+    dictionary = spark.createDataFrame(
+        [(n, "clean", w) for n, w in enumerate(known)], "id int, clean_name string, dirty_name string"
+    )
+    table = spark.createDataFrame([(w,) for w in names] + [(None,)], "name string")
+    got = {(r.name, r.id, r.distance) for r in dictionary_matches(table, "name", dictionary, max_len_diff=2, distance=distance).collect()}
+    expected = {
+        (a, n, d)
+        for a in names
+        for n, b in enumerate(known)
+        if abs(len(a) - len(b)) <= 2 and (d := edits(a.lower(), b.lower())) <= distance
+    }
+    assert got == expected
+
+
+def test_keys_of_a_name_do_not_grow_with_it(spark):
+    from txclean.functions import shifted_segment_keys
+
+    table = spark.createDataFrame([("a" * 10,), ("a" * 100_000,)], "name string")
+    sizes = [r[0] for r in table.select(F.size(shifted_segment_keys(F.col("name"), 2))).collect()]
+    assert max(sizes) <= 75

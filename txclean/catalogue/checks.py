@@ -237,6 +237,43 @@ _LOG = " UNION ALL ".join(
 _LINEAGE = " UNION ALL ".join([*_ROW_CHANGES, _AUDIT_DUPLICATES, _AUDIT_RATES, _AUDIT_DATES])
 
 
+def _factors(col: str, note) -> str:
+    """For each id and column with a change its values, and in how many rows of both stages."""
+    value = f"CAST({col} AS VARCHAR)"
+    return f"""
+SELECT transaction_id, {_text(note.column)} AS column_changed, {_text(note.stage)} AS change_stage,
+  {_text(note.reason)} AS change_reason, value,
+  CASE WHEN rows_before > 0 THEN value END AS old_value, CASE WHEN rows_after > 0 THEN value END AS new_value,
+  rows_before, rows_after
+FROM (
+  SELECT transaction_id, value, CAST(sum(b) AS BIGINT) AS rows_before, CAST(sum(a) AS BIGINT) AS rows_after
+  FROM (SELECT transaction_id, {value} AS value, 1 AS b, 0 AS a FROM raw
+    UNION ALL SELECT transaction_id, {value}, 0, 1 FROM staging)
+  WHERE transaction_id IS NOT NULL GROUP BY ALL)
+WINDOW id AS (PARTITION BY transaction_id)
+QUALIFY sum(rows_before) OVER id * sum(rows_after) OVER id > sum(rows_before * rows_after) OVER id"""
+
+
+_FACTORS = " UNION ALL ".join(
+    f"SELECT * FROM ({_factors(col, note)})"
+    for col, note in (("merchant_name", presets.MERCHANT_NOTE), ("category", presets.CATEGORY_NOTE))
+)
+_BATCH = (
+    f"CASE WHEN change_stage IN ({_text(presets.MERCHANT_NOTE.stage)}, {_text(presets.CATEGORY_NOTE.stage)}) THEN 'names'"
+    f" WHEN change_stage IN ({_text(presets.FILL_NOTE.stage)}, {_text(presets.DUPLICATE_NOTE.stage)}) THEN 'rows'"
+    " ELSE 'rules' END"
+)
+_LOG_COLUMNS = ("transaction_id", "column_changed", "old_value", "new_value", "change_stage", "change_reason")
+_APPENDED = (
+    f"SELECT batch, {', '.join(_LOG_COLUMNS)}, entries, CAST(sum(entries) OVER (ORDER BY"
+    " CASE batch WHEN 'names' THEN 1 WHEN 'rows' THEN 2 ELSE 3 END, "
+    + ", ".join(f"{c} NULLS FIRST" for c in _LOG_COLUMNS)
+    + " ROWS UNBOUNDED PRECEDING) - entries + 1 AS DECIMAL(38,0)) AS log_id"
+    f" FROM (SELECT {_BATCH} AS batch, {', '.join(_LOG_COLUMNS)}, CAST(sum(entries) AS DECIMAL(38,0)) AS entries"
+    f" FROM ({_LOG}) GROUP BY ALL)"
+)
+
+
 def _summary(log: str) -> str:
     return (
         "SELECT column_changed, change_stage, change_reason,"
@@ -328,6 +365,17 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT * FROM (SELECT * EXCLUDE (repeats), {_FAILED} AS failed FROM {{final}}"
             " WHERE booking_datetime >= TIMESTAMP '2000-01-01') WHERE failed <> ''"
         ),
+        "constraints_later_load_indexed": _over_final(
+            f"SELECT * FROM (SELECT * EXCLUDE (repeats), {_FAILED} AS failed FROM {{final}}"
+            " WHERE booking_datetime >= TIMESTAMP '2000-01-01') WHERE failed <> ''"
+        ),
+        "merchant_fuzzy_two_edits": "SELECT name, id, dirty_name,"
+        " CAST(levenshtein(lower(name), lower(dirty_name)) AS INT) AS distance"
+        " FROM (SELECT DISTINCT merchant_name AS name FROM trimmed WHERE merchant_name IS NOT NULL) n"
+        " JOIN dictionary d ON levenshtein(lower(name), lower(dirty_name)) <= 2"
+        " AND abs(length(name) - length(dirty_name)) <= 2",
+        "audit_log_appended": _APPENDED,
+        "audit_factors": _FACTORS,
         "audit_merchant": _AUDIT_MERCHANT,
         "audit_category": _AUDIT_CATEGORY,
         "audit_null_fix": _AUDIT_FILLS,
@@ -356,6 +404,9 @@ SELECT label, count(*) AS rows FROM (
     on_full = {
         "cleaned_transactions_full": f"SELECT {_FULL_COLUMNS} FROM final",
         "report_view": on_run["cleaning_report"],
+        "full_audit_factors": _FACTORS,
+        "audit_factors_expanded": f"{_AUDIT_MERCHANT} UNION ALL {_AUDIT_CATEGORY}",
+        "audit_factors_counted": _summary(f"{_AUDIT_MERCHANT} UNION ALL {_AUDIT_CATEGORY}"),
         "full_audit_log": _LOG,
         "full_audit_lineage": _LINEAGE,
         "full_duplicates_listed": "SELECT transaction_id AS TransactionId, merchant_name, category, row_num"

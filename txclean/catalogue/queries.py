@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,8 @@ from pyspark.sql import functions as F
 from txclean.catalogue import derived
 from txclean.functions import parse_mixed_timestamp
 from txclean.operators import (
+    AuditLedger,
+    KeyIndex,
     apply_constraints,
     check_in_set,
     check_length,
@@ -19,10 +20,12 @@ from txclean.operators import (
     classify_keywords,
     correct_from_dictionary,
     correction_map,
+    count_factors,
     deduplicate,
     dictionary_matches,
     duplicates,
     enrich,
+    expand_factors,
     fill_from,
     fix_precision,
     inject_copies,
@@ -36,7 +39,8 @@ from txclean.operators import (
 )
 from txclean.plans import presets
 from txclean.plans.pipeline import CleaningResult, bank_transactions, clean, dictionary_from
-from txclean.shared import shared_folder
+from txclean.shared import scratch as _scratch
+from txclean.shared import shared_table
 from txclean.sources import conform, read_transactions, write_relations
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,10 +94,6 @@ def conform_columns(spark, sf_dir):
     )
 
 
-def _scratch(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/txclean/{label}-{uuid.uuid4().hex}"
-
-
 @query
 def csv_ingest(spark, sf_dir):
     """The raw rows written as CSV and read with types and declared lengths."""
@@ -178,6 +178,15 @@ def merchant_fuzzy_blocked(spark, sf_dir):
     )
 
 
+@query
+def merchant_fuzzy_two_edits(spark, sf_dir):
+    """All pairs of a distinct name and an entry within two edits."""
+    config = derived.config(spark)
+    return dictionary_matches(
+        _trimmed(spark, sf_dir), "merchant_name", config.dictionary, distance=2
+    ).drop("clean_name")
+
+
 @query
 def merchant_fuzzy_match(spark, sf_dir):
     return correction_map(
@@ -343,6 +352,20 @@ def constraints_flag(spark, sf_dir):
     )
 
 
+@query
+def constraints_later_load_indexed(spark, sf_dir):
+    """The same by an index of the earlier rows' ids, kept in ranges."""
+    run = _run(spark, sf_dir)
+    late = F.col("booking_datetime") >= F.lit("2000-01-01").cast("timestamp_ntz")
+    ids = KeyIndex(spark, _scratch(spark, "ids"), ["transaction_id"], rows_per_range=100_000)
+    ids.merge(run.final.where(~late), "earlier")
+    return _joined_rules(
+        apply_constraints(
+            run.final.where(late), run.config.constraints, "quarantine", existing=ids
+        ).quarantined
+    )
+
+
 @query
 def constraints_later_load(spark, sf_dir):
     """Rows booked from 2000 on, loaded after the others."""
@@ -424,6 +447,42 @@ def audit_log_ids(spark, sf_dir):
     )
 
 
+@query
+def audit_log_appended(spark, sf_dir):
+    """The log added in three batches, the second one twice, as one log."""
+    log = shared_table(_run(spark, sf_dir).audit_log(), "log")
+    ledger = AuditLedger(spark, _scratch(spark, "ledger"))
+    batches = {
+        "names": [presets.MERCHANT_NOTE, presets.CATEGORY_NOTE],
+        "rows": [presets.FILL_NOTE, presets.DUPLICATE_NOTE],
+        "rules": [presets.RATE_NOTE, presets.DATE_NOTE],
+    }
+    for name in (*batches, "rows"):
+        ledger.append(log.where(F.col("change_stage").isin([n.stage for n in batches[name]])), name)
+    return ledger.read().drop("changed_at")
+
+
+@query
+def audit_factors(spark, sf_dir):
+    return _run(spark, sf_dir).audit_factors()
+
+
+@query
+def full_audit_factors(spark, sf_dir):
+    """Over the table in which one id is shared by many rows."""
+    return _full_run(spark, sf_dir).audit_factors()
+
+
+@query
+def audit_factors_expanded(spark, sf_dir):
+    return expand_factors(_full_run(spark, sf_dir).audit_factors())
+
+
+@query
+def audit_factors_counted(spark, sf_dir):
+    return count_factors(_full_run(spark, sf_dir).audit_factors())
+
+
 @query
 def audit_lineage(spark, sf_dir):
     return _run(spark, sf_dir).audit_lineage()

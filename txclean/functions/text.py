@@ -29,20 +29,37 @@ def pg_initcap(text: Column) -> Column:
     )
 
 
-def deletion_keys(text: Column) -> Column:
-    """The text itself and every text made by deleting one of its characters.
+def _segment(text: Column, size: Column, number: int, distance: int, shift: int = 0) -> Column:
+    """Hash of the segment `number` that a text of `size` characters has, read from `text`
+    with a shift; null where it would reach over an end."""
+    start = F.floor(size * number / (distance + 1)).cast("int") + shift
+    width = F.floor(size * (number + 1) / (distance + 1)).cast("int") + shift - start
+    inside = (start >= 0) & (start + width <= F.length(text)) & (size >= 0)
+    return F.when(inside, F.xxhash64(size, F.lit(number), F.substring(text, start + 1, width)))
 
-    Two texts within edit distance 1 of each other share at least one key, which
-    turns the distance condition into an equi-join.
+
+def segment_keys(text: Column, distance: int) -> Column:
+    """Keys of the text's segments, one more than there may be edits."""
+    return F.array(*(_segment(text, F.length(text), n, distance) for n in range(distance + 1)))
+
+
+def shifted_segment_keys(text: Column, distance: int) -> Column:
+    """Keys of what may be a segment of a text within `distance` edits: for each length that
+    text may have, and each shift of its segments.
+
+    Two texts within the distance share a key of `segment_keys` of the one and of these of
+    the other: an edit changes one segment at most, so one is left, moved by as many places
+    as there are edits before it.
     """
-    shorter = F.transform(
-        F.sequence(F.lit(1), F.length(text)),
-        lambda at: F.concat(
-            F.substring(text, F.lit(1), at - 1),
-            F.substring(text, at + 1, F.length(text)),
-        ),
-    )
-    # sequence(1, 0) counts down, so the empty text has to be kept out of it.
-    return F.when(F.length(text) == 0, F.array(text)).otherwise(
-        F.array_distinct(F.concat(F.array(text), shorter))
+    return F.array_distinct(
+        F.array_compact(
+            F.array(
+                *(
+                    _segment(text, F.length(text) + longer, n, distance, shift)
+                    for longer in range(-distance, distance + 1)
+                    for n in range(distance + 1)
+                    for shift in range(-distance, distance + 1)
+                )
+            )
+        )
     )

@@ -4,6 +4,7 @@ from txclean.operators.audit import (
     audit_changes,
     audit_changes_within,
     audit_duplicates,
+    audit_factors,
     audit_fills,
     audit_log,
     audit_predicate,
@@ -12,9 +13,11 @@ from txclean.operators.audit import (
     count_changes,
     count_changes_within,
     count_duplicates,
+    count_factors,
     count_fills,
     count_fills_within,
     count_totals,
+    expand_factors,
     number_entries,
     row_groups,
     summarise_audit,
@@ -25,6 +28,8 @@ from txclean.operators.correct import (
     dictionary_matches,
 )
 from txclean.operators.dedup import deduplicate, duplicates, repeat_rows, with_row_num
+from txclean.operators.key_index import KeyIndex
+from txclean.operators.ledger import AuditLedger
 from txclean.operators.profile import (
     enrich,
     explode_labels,
@@ -50,11 +55,14 @@ from txclean.operators.rules import classify_keywords, relabel_when
 from txclean.operators.standardise import standardise_text
 
 __all__ = [
+    "AuditLedger",
     "ConstraintViolation",
+    "KeyIndex",
     "apply_constraints",
     "audit_changes",
     "audit_changes_within",
     "audit_duplicates",
+    "audit_factors",
     "audit_fills",
     "audit_log",
     "audit_predicate",
@@ -71,6 +79,7 @@ __all__ = [
     "count_changes",
     "count_changes_within",
     "count_duplicates",
+    "count_factors",
     "count_fills",
     "count_fills_within",
     "count_totals",
@@ -78,6 +87,7 @@ __all__ = [
     "dictionary_matches",
     "duplicates",
     "enrich",
+    "expand_factors",
     "explode_labels",
     "fill_from",
     "fix_precision",

@@ -17,10 +17,23 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    DoubleType,
+    FloatType,
+    MapType,
+    StringType,
+    StructType,
+    TimestampType,
+)
 
 from txclean.operators.dedup import repeated_hashes, with_key_hash
+from txclean.operators.numbering import ordered_slices, starts_of_slices, upto_within
+from txclean.shared import shared_table
 
 SUMMARY_KEYS = ("column_changed", "change_stage", "change_reason")
 # Products of two row counts outgrow 64 bits.
@@ -57,6 +70,63 @@ def _entry(df: DataFrame, key: str, note: Note, old: Column, new: Column, entrie
     )
 
 
+# Values of several columns are held as text in one column. Both stages are cast to the
+# wider of their types first, so that 1.5 and 1.50 are one value; what is logged is the
+# value in its own type again.
+
+
+class _Kinds(NamedTuple):
+    both: DataType
+    old: DataType
+    new: DataType
+
+
+def _kinds(df: DataFrame, changes: Changes) -> list[_Kinds]:
+    """The types of each change's columns; a type is only looked up, nothing is read."""
+    types = {f.name: f.dataType for f in df.schema}
+    wider = df.select(
+        *(F.coalesce(F.col(old), F.col(new)).alias(str(i)) for i, (old, new, _) in enumerate(changes))
+    ).schema
+    return [
+        _Kinds(wider[i].dataType, types[old], types[new]) for i, (old, new, _) in enumerate(changes)
+    ]
+
+
+def _as_text(value: Column, kind: DataType) -> Column:
+    """Texts which are equal exactly where the values are."""
+    value = value.cast(kind)
+    if isinstance(kind, TimestampType):
+        value = F.unix_micros(value)
+    elif isinstance(kind, BinaryType):
+        value = F.hex(value)
+    elif isinstance(kind, (DoubleType, FloatType)):
+        value = F.when(value == 0, F.lit(0).cast(kind)).otherwise(value)
+    return value.cast("string")
+
+
+def _shown(value: Column, kind: DataType, own: DataType) -> Column:
+    """The text of a value of `_as_text` in the type of its column."""
+    if isinstance(kind, (StringType, ArrayType, MapType, StructType)):
+        return value
+    if isinstance(kind, TimestampType):
+        value = F.timestamp_micros(value.cast("long"))
+    elif isinstance(kind, BinaryType):
+        value = F.unhex(value)
+    return value.cast(kind).cast(own).cast("string")
+
+
+def _shown_of(kinds: Sequence[_Kinds], column: str, side: str) -> Column:
+    """The same where `change` tells which of the columns it is."""
+    if all(isinstance(k.both, StringType) for k in kinds):
+        return F.col(column)
+    return F.coalesce(
+        *(
+            F.when(F.col("change") == i, _shown(F.col(column), k.both, getattr(k, side)))
+            for i, k in enumerate(kinds)
+        )
+    )
+
+
 # What changed is told from counts (by, value, before, after): how many rows hold
 # the value before and how many after, for each value of the `by` columns.
 
@@ -91,7 +161,9 @@ def _with_shared_flag(df: DataFrame, key: str, key_rows: DataFrame | None) -> Da
     )
 
 
-def _counts_of_rows(flagged: DataFrame, key: str, changes: Changes) -> DataFrame:
+def _counts_of_rows(
+    flagged: DataFrame, key: str, changes: Changes, kinds: Sequence[_Kinds]
+) -> DataFrame:
     """Both stages of all columns in one scan; `change` is the place in `changes`.
 
     Rows which do not share their key are told by themselves whether they changed.
@@ -104,7 +176,7 @@ def _counts_of_rows(flagged: DataFrame, key: str, changes: Changes) -> DataFrame
         return F.struct(
             F.lit(change).alias("change"),
             F.when(shared, F.col(key)).alias("key"),
-            F.when(shared, F.col(col).cast("string")).alias("value"),
+            F.when(shared, _as_text(F.col(col), kinds[change].both)).alias("value"),
             (shared & before).cast("long").alias("before"),
             (shared & after).cast("long").alias("after"),
             (~shared & alone).cast("long").alias("alone"),
@@ -159,9 +231,8 @@ def audit_changes(
 ) -> DataFrame:
     """Entries for every pair of rows with equal key and different value."""
     changed = _changed_pairs(_counts_of_stages(before, after, key, col), ["key"])
-    return _entry(
-        changed, "key", note, F.col("old"), F.col("new"), _product("before", "after")
-    )
+    old, new = (F.col(side).cast(df.schema[col].dataType) for side, df in (("old", before), ("new", after)))
+    return _entry(changed, "key", note, old, new, _product("before", "after"))
 
 
 def count_changes(
@@ -181,14 +252,15 @@ def audit_changes_within(
     Only rows which share their key are joined. `key_rows`, if given, is a frame
     which takes less work than `df` and has the same keys in as many rows.
     """
+    kinds = _kinds(df, changes)
     flagged = _with_shared_flag(df, key, key_rows)
     alone = audit_row_changes(flagged.where(~F.col("__shared")), key, changes)
-    counts = _counts_of_rows(flagged.where("__shared"), key, changes)
+    counts = _counts_of_rows(flagged.where("__shared"), key, changes, kinds)
     changed = _changed_pairs(counts, ["change", "key"]).select(
         F.col("key").alias("transaction_id"),
         _notes(changes, "column").alias("column_changed"),
-        F.col("old").alias("old_value"),
-        F.col("new").alias("new_value"),
+        _shown_of(kinds, "old", "old").alias("old_value"),
+        _shown_of(kinds, "new", "new").alias("new_value"),
         _notes(changes, "stage").alias("change_stage"),
         _notes(changes, "reason").alias("change_reason"),
         _product("before", "after").alias("entries"),
@@ -200,7 +272,9 @@ def count_changes_within(
     df: DataFrame, key: str, changes: Changes, key_rows: DataFrame | None = None
 ) -> DataFrame:
     """Number of entries of `audit_changes_within` per column."""
-    counts = _counts_of_rows(_with_shared_flag(df, key, key_rows), key, changes)
+    counts = _counts_of_rows(
+        _with_shared_flag(df, key, key_rows), key, changes, _kinds(df, changes)
+    )
     per_key = _changes_per_key(counts, ["change", "key"], F.sum("alone").alias("alone"))
     return (
         per_key.groupBy("change")
@@ -215,6 +289,86 @@ def count_changes_within(
     )
 
 
+FACTOR_OF = ("transaction_id", "column_changed", "change_stage", "change_reason")
+
+
+def audit_factors(
+    df: DataFrame, key: str, changes: Changes, key_rows: DataFrame | None = None
+) -> DataFrame:
+    """The log of `audit_changes_within` by its factors: for each key and column with a
+    change one row per value, `rows_before` and `rows_after` telling how many rows of the
+    key hold it. A key that n rows share has 2n rows at most, and not n x n.
+
+    `value` is the value in a form in which both stages can be compared; `old_value` and
+    `new_value` are what the log shows, null in a stage that doesn't hold it.
+    `expand_factors` writes the pairs, `count_factors` counts them.
+    """
+    kinds = _kinds(df, changes)
+    flagged = _with_shared_flag(df, key, key_rows)
+    counts = _counts_of_rows(flagged.where("__shared"), key, changes, kinds)
+    by = ["change", "key"]
+    changed_keys = _changes_per_key(counts, by).where("changes > 0").select(*by)
+    shared = counts.join(changed_keys, by).select(*by, "value", "before", "after")
+    rows = []
+    for change, (old, new, _) in enumerate(changes):
+        differs = ~F.col(old).eqNullSafe(F.col(new))
+        rows += [
+            F.when(
+                differs,
+                F.struct(
+                    F.lit(change).alias("change"),
+                    F.col(key).alias("key"),
+                    _as_text(F.col(col), kinds[change].both).alias("value"),
+                    F.lit(before).cast("long").alias("before"),
+                    F.lit(1 - before).cast("long").alias("after"),
+                ),
+            )
+            for col, before in ((old, 1), (new, 0))
+        ]
+    alone = flagged.where(~F.col("__shared")).select(F.inline(F.array_compact(F.array(*rows))))
+    return shared.unionByName(alone).select(
+        F.col("key").alias("transaction_id"),
+        _notes(changes, "column").alias("column_changed"),
+        _notes(changes, "stage").alias("change_stage"),
+        _notes(changes, "reason").alias("change_reason"),
+        "value",
+        F.when(F.col("before") > 0, _shown_of(kinds, "value", "old")).alias("old_value"),
+        F.when(F.col("after") > 0, _shown_of(kinds, "value", "new")).alias("new_value"),
+        F.col("before").alias("rows_before"),
+        F.col("after").alias("rows_after"),
+    )
+
+
+def expand_factors(factors: DataFrame) -> DataFrame:
+    """The entries: each pair of different values of a key and column, with its number."""
+    old = factors.where("rows_before > 0").select(
+        *FACTOR_OF, F.col("value").alias("__old"), "old_value", "rows_before"
+    )
+    new = factors.where("rows_after > 0").select(
+        *FACTOR_OF, F.col("value").alias("__new"), "new_value", "rows_after"
+    )
+    return (
+        old.join(new, list(FACTOR_OF))
+        .where(~F.col("__old").eqNullSafe(F.col("__new")))
+        .select(
+            "transaction_id", "column_changed", "old_value", "new_value", "change_stage", "change_reason",
+            _product("rows_before", "rows_after").alias("entries"),
+        )
+    )
+
+
+def count_factors(factors: DataFrame) -> DataFrame:
+    """Entries per column, stage and reason, without expanding: the product of a key's
+    rows before and after, less the inner product of its two lists."""
+    per_key = factors.groupBy(*FACTOR_OF).agg(
+        F.sum("rows_before").alias("rows_before"),
+        F.sum("rows_after").alias("rows_after"),
+        F.sum(_product("rows_before", "rows_after")).alias("equal"),
+    )
+    changes = (_product("rows_before", "rows_after") - F.col("equal")).cast(COUNT)
+    return per_key.groupBy(*SUMMARY_KEYS).agg(F.sum(changes).cast(COUNT).alias("number_of_changes"))
+
+
 def audit_fills(
     before: DataFrame, after: DataFrame, key: str, col: str, note: Note
 ) -> DataFrame:
@@ -401,36 +555,30 @@ def audit_log(*branches: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, branches)
 
 
-def number_entries(log: DataFrame, slices: int = 4096) -> DataFrame:
-    """Give entries ids from 1 without gaps, and the time of the run.
+def number_entries(
+    log: DataFrame, slices: int | None = None, first_id: int = 1, rows_per_slice: int = 500_000
+) -> DataFrame:
+    """Give entries ids from `first_id` without gaps, and the time of the run.
 
     `log_id` is the id of the first of `entries` equal entries; the others follow
-    it. Entries are spread over `slices` by hash and numbered within each; only
-    the totals of the slices, `slices` rows in all, are added up in one place.
+    it. Ids go in the order of the columns. Different entries are cut into slices of
+    about `rows_per_slice` rows by range, numbered within each, and shifted by what the
+    slices before it hold. The different entries are written to the shared folder first,
+    which tells how many slices there are; `slices` sets their number instead.
     """
     columns = [name for name in log.columns if name != "entries"]
-    entries = (
-        log.groupBy(*columns)
-        .agg(F.sum("entries").cast(COUNT).alias("entries"))
-        .withColumn("__slice", F.pmod(F.xxhash64(*columns), F.lit(slices)))
-    )
-    running = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        entries.groupBy("__slice")
-        .agg(F.sum("entries").alias("__held"))
-        .withColumn("__start", F.coalesce(F.sum("__held").over(running), F.lit(0)))
-        .select("__slice", "__start")
-    )
-    inside = (
-        Window.partitionBy("__slice")
-        .orderBy(*columns)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    entries = shared_table(
+        log.groupBy(*columns).agg(F.sum("entries").cast(COUNT).alias("entries")), "entries"
     )
+    if slices is None:
+        slices = -(-entries.count() // rows_per_slice) or 1
+    sliced = shared_table(ordered_slices(entries, columns, slices), "slices")
+    starts = starts_of_slices(sliced, "entries")
     return (
-        entries.withColumn("__upto", F.sum("entries").over(inside))
+        sliced.withColumn("__upto", upto_within("entries", columns))
         .join(starts, "__slice")
         .select(
-            (F.col("__start") + F.col("__upto") - F.col("entries") + 1)
+            (F.lit(first_id).cast(COUNT) + F.col("__start") + F.col("__upto") - F.col("entries"))
             .cast(COUNT)
             .alias("log_id"),
             *columns,

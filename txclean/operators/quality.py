@@ -10,6 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txclean.operators.key_index import KeyIndex
 from txclean.shared import shared_table
 
 
@@ -117,7 +118,7 @@ def _flag_repeats(
     df: DataFrame,
     rule: Unique,
     flag: str,
-    existing: DataFrame | None,
+    existing: DataFrame | KeyIndex | None,
     key_rows: DataFrame | None,
 ) -> DataFrame:
     """Add a boolean column: does the row's key occur more than once?
@@ -127,9 +128,13 @@ def _flag_repeats(
     keys = (df if key_rows is None else key_rows).select(*rule.columns)
     if existing is not None:
         wanted = keys.where(_all_present(rule.columns)).distinct()
-        keys = keys.unionByName(
-            existing.select(*rule.columns).join(wanted, list(rule.columns), "left_semi")
-        )
+        if isinstance(existing, KeyIndex):
+            if existing.columns != rule.columns:
+                raise ValueError(f"the index holds {existing.columns}, not {rule.columns}")
+            found = existing.matching(wanted)
+        else:
+            found = existing.select(*rule.columns).join(wanted, list(rule.columns), "left_semi")
+        keys = keys.unionByName(found)
     repeated = shared_table(
         rule.violations(keys).select(
             *(F.col(name).alias(f"__repeated_{name}") for name in rule.columns)
@@ -148,7 +153,7 @@ def apply_constraints(
     df: DataFrame,
     constraints: Sequence[Constraint],
     policy: str = "quarantine",
-    existing: DataFrame | None = None,
+    existing: DataFrame | KeyIndex | None = None,
     key_rows: DataFrame | None = None,
 ) -> Enforced:
     """Hold rows against constraints.
@@ -156,7 +161,9 @@ def apply_constraints(
     policy `flag` keeps all rows and adds `failed_rules`, `drop` keeps the valid
     ones, `quarantine` also returns the others with their `failed_rules`, and
     `fail` raises `ConstraintViolation` if any row is broken. With `existing`, the
-    rows are a later load into that table: their keys must not occur there either.
+    rows are a later load into that table: their keys must not occur there either. It is
+    the table, all of whose keys are read, or its `KeyIndex`, of which only the ranges
+    that the load's keys fall into are.
     `key_rows`, if given, is a frame which takes less work than `df` and has the
     same unique columns in as many rows.
     """

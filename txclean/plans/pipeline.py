@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from txclean.operators import audit, dedup, quality
 from txclean.operators.correct import correct_from_dictionary
+from txclean.operators.key_index import KeyIndex
 from txclean.operators.repair import fill_from, fix_precision
 from txclean.operators.rules import Rules, classify_keywords, relabel_when
 from txclean.operators.standardise import standardise_text
@@ -255,7 +256,7 @@ class CleaningResult:
         return quality.check_unique([self.config.id]).violations(self._survivors())
 
     def enforce(
-        self, policy: str = "quarantine", existing: DataFrame | None = None
+        self, policy: str = "quarantine", existing: DataFrame | KeyIndex | None = None
     ) -> quality.Enforced:
         return quality.apply_constraints(
             self.final,
@@ -279,6 +280,13 @@ class CleaningResult:
             self.traced, self.config.id, changes, key_rows=self.keyed
         )
 
+    def audit_factors(self) -> DataFrame:
+        """The changes of merchants and categories by their factors: linear in the rows,
+        however many share an id."""
+        return audit.audit_factors(
+            self.traced, self.config.id, self._text_changes(), key_rows=self.keyed
+        )
+
     def _survivors(self) -> DataFrame:
         """Key columns of the final rows, for which it does not matter which of the
         copies has survived."""

@@ -9,6 +9,10 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Paths written by each application.
+_made: dict[str, list[str]] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only on a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -32,7 +36,38 @@ def shared_table(df: DataFrame, label: str) -> DataFrame:
     `spark.sql.autoBroadcastJoinThreshold` and shuffled, with AQE splitting hot
     keys, when it is not. No broadcast hint is needed anywhere.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/txclean/{label}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, which `release` removes."""
+    path = f"{shared_folder(spark).rstrip('/')}/txclean/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the tables that this application has written to the shared folder, and give
+    their number. Frames built on them can't be read any more: call it when a run's
+    results are written."""
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove(spark, path)
+    return len(paths)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
