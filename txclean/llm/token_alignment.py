@@ -39,7 +39,7 @@ STRETCH = re.compile(rf"[\s{MARK}]*(?:[^ ]+(?:(?<=[\s{MARK}]) +(?:[^ ]+|$))*)?")
 #: Characters below this are read alike by both libraries for byte-level vocabularies (tested one by one).
 PLAIN = re.compile("[\x00-ɏ]*")
 #: Characters of remembered stretches of a worker before it starts afresh.
-REMEMBERED = 6_000_000
+REMEMBERED = 2_500_000
 #: Ends of a lane that are looked for one after the other, beside the other lanes.
 LANE = 64
 #: Id pairs of a row of a slice's list.
@@ -118,7 +118,7 @@ def aligned(a_ends: np.ndarray, a_counts: np.ndarray, b_ends: np.ndarray, b_coun
         return none, none, none, none
     a, b = (np.concatenate(p) for p in zip(*parts, strict=True))
     a_cut, b_cut = (np.sort(np.concatenate(c)) for c in zip(*cuts, strict=True))
-    order = np.lexsort((b, a))
+    order = np.argsort(a, kind="stable")  # of two sorted runs
     return a[order], b[order], a_cut, b_cut
 
 
@@ -213,7 +213,7 @@ class Aligner:
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
         self.splits = self.a.splits and self.b.splits
         self.widths = [np.array([len(b) for b in t.bytes], np.int64) for t in (self.a, self.b)]
-        self.names = [[str(i) for i in range(len(t.bytes))] for t in (self.a, self.b)]
+        self.names = [f"{i}{m}" for i in range(max(map(len, self.widths))) for m in ",|;"]
         self.many = len(self.b.bytes)
         self.known: dict[str, tuple | None] = {}
         self.held = 0
@@ -227,51 +227,61 @@ class Aligner:
             found.pop()
         return found
 
-    def learn(self, stretches: set[str]) -> None:
+    def learn(self, stretches: dict[str, None]) -> None:
         """Align those that aren't known: (tokens of a, of b, groups, groups as text, links
         as numbers a * ids of b + b), or None where the tokens' bytes aren't the stretch's."""
         if self.held > REMEMBERED:
-            self.known.clear()
-            self.held = 0
-        new = sorted(s for s in stretches if s not in self.known)
-        if not new:
-            return
+            # What this slice holds too is kept.
+            self.known = {s: self.known[s] for s in stretches if s in self.known}
+            self.held = sum(map(len, self.known))
+        new = [s for s in stretches if s not in self.known]
         self.held += sum(map(len, new))
-        ids = [self.a.encode(new), self.b.encode(new)]
-        good = []
-        for n, stretch in enumerate(new):
-            whole = stretch.encode()
-            if all(b"".join(map(t.bytes.__getitem__, i[n])) == whole for t, i in zip((self.a, self.b), ids)):
-                good.append(n)
-            else:
-                self.known[stretch] = None
-        if not good:
+        ids = [self.a.encode(new), self.b.encode(new)] if new else [[], []]
+        if not self._given_back(new, ids):
+            for n in range(len(new) - 1, -1, -1):
+                if not self._given_back([new[n]], [[i[n]] for i in ids]):
+                    self.known[new[n]] = None
+                    del new[n], ids[0][n], ids[1][n]
+        if not new:
             return
-        flat, counts, ends = [], [], []
-        for side in (0, 1):
-            lists = [ids[side][n] for n in good]
-            counts.append(np.fromiter(map(len, lists), np.int64, len(lists)))
-            flat.append(np.fromiter(chain.from_iterable(lists), np.int64, int(counts[side].sum())))
-            ends.append(np.cumsum(self.widths[side][flat[side]]))
+        flat, counts = zip(*map(self._flat, ids), strict=True)
+        ends = [np.cumsum(w[f]) for w, f in zip(self.widths, flat, strict=True)]
         a, b, a_cut, b_cut = aligned(ends[0], counts[0], ends[1], counts[1])
-        links = flat[0][a] * self.many + flat[1][b]
-        a_end = np.cumsum(counts[0])
-        link_at = np.searchsorted(a, np.concatenate([[0], a_end])).tolist()
-        cut_at = np.searchsorted(a_cut, np.concatenate([[0], a_end])).tolist()
-        text_a = list(map(self.names[0].__getitem__, flat[0].tolist()))
-        text_b = list(map(self.names[1].__getitem__, flat[1].tolist()))
-        a_stop, b_stop = (a_cut + 1).tolist(), (b_cut + 1).tolist()
-        a_from, b_from = 0, 0
-        for k, n in enumerate(good):
-            groups = []
-            for cut in range(cut_at[k], cut_at[k + 1]):
-                a_to, b_to = a_stop[cut], b_stop[cut]
-                groups.append(f"{','.join(text_a[a_from:a_to])}|{','.join(text_b[b_from:b_to])}")
-                a_from, b_from = a_to, b_to
-            own = links[link_at[k] : link_at[k + 1]]
-            self.known[new[n]] = (
-                int(counts[0][k]), int(counts[1][k]), len(groups), ";".join(groups), own.tobytes()
-            )
+        links = (flat[0][a] * self.many + flat[1][b]).tobytes()
+        # All tokens in the order of the groups' text, each with the mark that follows it.
+        a_place, b_place = np.arange(len(flat[0])), np.arange(len(flat[1]))
+        b_before, a_before = np.concatenate([[0], b_cut + 1]), a_cut + 1
+        a_mark, b_mark = np.zeros(len(a_place), np.int64), np.zeros(len(b_place), np.int64)
+        a_mark[a_cut], b_mark[b_cut] = 1, 2
+        order = np.empty(len(a_place) + len(b_place), np.int64)
+        order[a_place + b_before[np.searchsorted(a_cut, a_place)]] = flat[0] * 3 + a_mark
+        order[b_place + a_before[np.searchsorted(b_cut, b_place)]] = flat[1] * 3 + b_mark
+        marked = list(map(self.names.__getitem__, order.tolist()))
+        a_ends = np.cumsum(counts[0])
+        token_at = [0, *(a_ends + np.cumsum(counts[1])).tolist()]
+        link_at = [0, *(np.searchsorted(a, a_ends) * 8).tolist()]
+        group_at = np.concatenate([[0], np.searchsorted(a_cut, a_ends)])
+        sizes = zip(counts[0].tolist(), counts[1].tolist(), np.diff(group_at).tolist(), strict=True)
+        for n, (stretch, size) in enumerate(zip(new, sizes, strict=True)):
+            groups = "".join(marked[token_at[n] : token_at[n + 1]])[:-1]
+            self.known[stretch] = (*size, groups, links[link_at[n] : link_at[n + 1]])
+
+    @staticmethod
+    def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        return np.fromiter(chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _given_back(self, texts: list[str], ids: list[list[list[int]]]) -> bool:
+        """Whether the bytes of the tokens are those of each text."""
+        whole = [t.encode() for t in texts]
+        together, stops = b"".join(whole), np.cumsum([0, *map(len, whole)])
+        for tokens, widths, own in zip((self.a, self.b), self.widths, ids, strict=True):
+            if b"".join(map(tokens.bytes.__getitem__, chain.from_iterable(own))) != together:
+                return False
+            flat, counts = self._flat(own)
+            running = np.concatenate([[0], np.cumsum(widths[flat])])
+            if (running[np.concatenate([[0], np.cumsum(counts)])] != stops).any():
+                return False
+        return True
 
     def whole_differs(self, text: str) -> bool:
         """Whether the bytes of all tokens, joined, aren't the text's."""
@@ -289,47 +299,43 @@ def aligner(path_a: str, path_b: str) -> Aligner:
 def _slice_rows(model: Aligner, texts: list[str], names: pa.Array, with_groups: bool) -> dict:
     """Columns of one slice: a row for each document, then rows with the id pairs."""
     cut = [model.stretches(t) if t else [] for t in texts]
-    model.learn(set(chain.from_iterable(cut)))
-    number: dict[str, int] = {}
-    kept: list[tuple] = []
-    rows: list[tuple] = []
-    for text, stretches in zip(texts, cut, strict=True):
-        if any(model.known[s] is None for s in set(stretches)):
-            # Only if the whole text differs too has it no tokens; else it is one stretch.
-            stretches = [] if model.whole_differs(text) else [" " + text]
-            model.learn(set(stretches))
-            stretches = [s for s in stretches if model.known[s] is not None]
-        for s in stretches:
-            if s not in number:
-                number[s] = len(kept)
-                kept.append(model.known[s])
-        places_in = list(map(number.__getitem__, stretches))
-        found = list(map(kept.__getitem__, places_in))
-        groups = ";".join([f[3] for f in found])
-        rows.append((
-            sum(f[0] for f in found), sum(f[1] for f in found), sum(f[2] for f in found),
-            sum(len(f[4]) for f in found) // 8,
-            hashlib.sha256(groups.encode()).hexdigest() if found else "",
-            groups if with_groups else None,
-            np.array(places_in, np.uint32).tobytes(),
-        ))
+    different = dict.fromkeys(chain.from_iterable(cut))
+    model.learn(different)
+    if bad := {s for s in different if model.known[s] is None}:
+        for n, text in enumerate(texts):
+            if not bad.isdisjoint(cut[n]):
+                # Only if the whole text differs too has it no tokens; else it is one stretch.
+                cut[n] = [] if model.whole_differs(text) else [" " + text]
+                model.learn(dict.fromkeys(cut[n]))
+        different = dict.fromkeys(chain.from_iterable(cut))
+    kept = list(map(model.known.__getitem__, different))
+    number = {s: n for n, s in enumerate(different)}
+    stops = np.cumsum([0, *map(len, cut)])
+    used = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.uint32, int(stops[-1]))
+    own = np.array([(f[0], f[1], f[2], len(f[4]) // 8) for f in kept], np.int64).reshape(-1, 4)
+    running = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(own[used], axis=0)])
+    n_a, n_b, n_groups, n_links = ([*c] for c in (running[stops[1:]] - running[stops[:-1]]).T)
+    groups = {s: f[3] for s, f in zip(different, kept, strict=True)}
+    joined = (";".join(map(groups.__getitem__, stretches)) for stretches in cut)
+    digest, texts_out = [], []
+    for text in joined:
+        digest.append(hashlib.sha256(text.encode()).hexdigest() if text else "")
+        texts_out.append(text if with_groups else None)
+    stretches = [used[at:to].tobytes() for at, to in zip(stops[:-1], stops[1:], strict=True)]
     links = np.frombuffer(b"".join(f[4] for f in kept), np.int64)
-    sizes = np.array([len(f[4]) // 8 for f in kept], np.int64)
-    used = np.frombuffer(b"".join(r[-1] for r in rows), np.uint32)
-    times = np.bincount(used, minlength=len(kept)) if len(kept) else np.zeros(0, np.int64)
+    sizes = own[:, 3]
+    times = np.bincount(used, minlength=len(kept))
     pairs, place = np.unique(links, return_inverse=True)
     counts = np.bincount(place, weights=np.repeat(times, sizes), minlength=len(pairs)).astype(np.int64)
-    docs, chunks = len(rows), max(1, -(-len(pairs) // CHUNK))
+    docs, chunks = len(cut), max(1, -(-len(pairs) // CHUNK))
     spare, none = [None] * chunks, [None] * docs
-    columns = zip(*rows, strict=True) if rows else [[] for _ in range(7)]
-    n_a, n_b, n_groups, n_links, digest, groups, stretches = (list(c) for c in columns)
     part = [slice(k * CHUNK, (k + 1) * CHUNK) for k in range(chunks)]
     return {
         "slice": [uuid.uuid4().hex] * (docs + chunks),
         "is_document": [True] * docs + [False] * chunks,
         "doc_id": pa.concat_arrays([names, pa.nulls(chunks, names.type)]),
         "n_a": n_a + spare, "n_b": n_b + spare, "n_groups": n_groups + spare, "n_links": n_links + spare,
-        "groups_sha256": digest + spare, "groups": groups + spare,
+        "groups_sha256": digest + spare, "groups": texts_out + spare,
         "stretches": stretches + spare,
         "first": none + [p.start for p in part],
         "pairs": none + [pairs[p] for p in part],
@@ -375,7 +381,7 @@ def align_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_groups: bool = False,
-    slice_bytes: int = 16_000_000,
+    slice_bytes: int = 5_000_000,
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, pairs): alignment of a byte-level .json tokenizer (a) with a .model (b).
 
