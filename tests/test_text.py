@@ -30,6 +30,10 @@ def column(spark, values, kind="string"):
         ("a\tb", "A\tB"),
         ("o'NEIL-smith/jr", "O'Neil-Smith/Jr"),
         ("straße ßa", "Straße ßa"),
+        ("ŉx", "ŉx"),
+        ("ﬁsh ﬀ-ﬆA", "ﬁsh ﬀ-ﬆa"),
+        ("ΣΟΦΟΣ σας ςα", "Σοφοσ Σας Σα"),
+        ("ΐα ᾳβ", "ΐα ᾼβ"),
         ("", ""),
         (None, None),
     ],

@@ -302,6 +302,42 @@ SELECT event_id, CASE event_id % 7
 FROM events"""
 
 
+def _rules_in_use() -> str:
+    keywords = [(word, label) for words, label in presets.CATEGORY_RULES for word in words]
+    rules = ", ".join(
+        f"({rank}, {_text(word)}, {_text(label)})" for rank, (word, label) in enumerate(keywords, 1)
+    )
+    return f"""
+SELECT CAST(rank AS INT) AS rank, keyword, label, CAST(count(category) AS BIGINT) AS matched,
+  CAST(count(CASE WHEN rank = least AND category IS NOT NULL THEN 1 END) AS BIGINT) AS first
+FROM (
+  SELECT rank, keyword, label, category, min(rank) OVER (PARTITION BY row_number) AS least
+  FROM (VALUES {rules}) AS rules(rank, keyword, label)
+  LEFT JOIN (SELECT category, row_number() OVER () AS row_number FROM trimmed)
+    ON contains(lower(category), keyword))
+GROUP BY ALL"""
+
+
+_KEY_COLUMNS = {
+    "region": ["r_regionkey"],
+    "nation": ["n_nationkey", "n_regionkey"],
+    "customer": ["c_custkey", "c_nationkey"],
+    "supplier": ["s_suppkey", "s_nationkey"],
+    "part": ["p_partkey"],
+    "orders": ["o_orderkey", "o_custkey"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey"],
+}
+_KEY_PLACES = [(table, col) for table, cols in _KEY_COLUMNS.items() for col in cols]
+_INCLUSIONS = " UNION ALL ".join(
+    f"SELECT '{a}' AS included, '{b}' AS within, count(DISTINCT {a}) AS \"values\" FROM {t}"
+    f" HAVING count(DISTINCT {a}) > 0 AND NOT EXISTS"
+    f" (SELECT 1 FROM {t} x WHERE x.{a} IS NOT NULL AND x.{a} NOT IN (SELECT {b} FROM {u} WHERE {b} IS NOT NULL))"
+    for t, a in _KEY_PLACES
+    for u, b in _KEY_PLACES
+    if a != b
+)
+
+
 def _over_final(select: str) -> str:
     return select.replace("{final}", f"(SELECT *, {_REPEATS} FROM final)")
 
@@ -327,6 +363,8 @@ def oracle_sql() -> dict[str, str]:
         " JOIN (SELECT account_id, count(*) AS rows FROM raw GROUP BY ALL) USING (account_id)",
         "trim_initcap_merchant": "SELECT transaction_id, merchant_name, category FROM trimmed",
         "classify_category": f"SELECT category, {_case('category')} AS label, count(*) AS rows FROM trimmed GROUP BY ALL",
+        "classify_category_by_table": f"SELECT category, {_case('category')} AS label, count(*) AS rows FROM trimmed GROUP BY ALL",
+        "category_rules_in_use": _rules_in_use(),
         "merchant_fuzzy_blocked": "SELECT * FROM matches",
         "merchant_fuzzy_match": "SELECT * FROM best",
         "merchant_corrected": "SELECT transaction_id, merchant_name FROM staging",
@@ -404,6 +442,10 @@ SELECT label, count(*) AS rows FROM (
     on_full = {
         "cleaned_transactions_full": f"SELECT {_FULL_COLUMNS} FROM final",
         "report_view": on_run["cleaning_report"],
+        "mcc_dependency": "SELECT CAST(code AS INT) AS MerchantCategoryCode, count(*) AS \"values\", CAST(sum(n) AS BIGINT) AS rows,"
+        " CASE WHEN count(*) = count(category) THEN min(category) END AS least, max(category) AS greatest"
+        " FROM (SELECT CASE WHEN instructed_amount < 0 THEN 5812 END AS code, category, count(*) AS n FROM final GROUP BY ALL)"
+        " GROUP BY ALL HAVING count(*) > 1",
         "full_audit_factors": _FACTORS,
         "audit_factors_expanded": f"{_AUDIT_MERCHANT} UNION ALL {_AUDIT_CATEGORY}",
         "audit_factors_counted": _summary(f"{_AUDIT_MERCHANT} UNION ALL {_AUDIT_CATEGORY}"),
@@ -443,6 +485,10 @@ SELECT label, count(*) AS rows FROM (
         f" UNION ALL SELECT o_orderkey FROM ({_sample(_TWENTIETH)})) GROUP BY ALL",
         "enrich_nation": "SELECT o_orderkey, c_mktsegment, n_name FROM orders"
         " LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey",
+        "inclusions_found": _INCLUSIONS,
+        "enrich_first_of_repeated": "SELECT n_nationkey, n_name, c_custkey, c_mktsegment FROM nation LEFT JOIN ("
+        "SELECT c_nationkey, c_custkey, c_mktsegment FROM customer"
+        " QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey, c_mktsegment) = 1) ON n_nationkey = c_nationkey",
         "unmatched_lines": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem l WHERE NOT EXISTS ("
         "SELECT 1 FROM lineitem o WHERE o.l_discount > 0 AND o.l_partkey = l.l_partkey AND o.l_suppkey = l.l_suppkey)",
     }

@@ -17,6 +17,7 @@ from txclean.operators import (
     check_length,
     check_not_null,
     check_unique,
+    classify_by_table,
     classify_keywords,
     correct_from_dictionary,
     correction_map,
@@ -28,10 +29,14 @@ from txclean.operators import (
     expand_factors,
     fill_from,
     fix_precision,
+    functional_dependency,
+    inclusion_dependencies,
     inject_copies,
     label_profile,
     number_entries,
     relabel_when,
+    rule_use,
+    rules_table,
     sample_rows,
     standardise_text,
     summarise_audit,
@@ -168,6 +173,25 @@ def classify_category(spark, sf_dir):
     )
 
 
+@query
+def classify_category_by_table(spark, sf_dir):
+    """The same with the keywords as rows of a table."""
+    rules = rules_table(spark, presets.CATEGORY_RULES)
+    return (
+        classify_by_table(_trimmed(spark, sf_dir), "category", rules, out="label")
+        .groupBy("category", "label")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
+@query
+def category_rules_in_use(spark, sf_dir):
+    """How many rows each keyword is found in, and how many it labels."""
+    return rule_use(
+        _trimmed(spark, sf_dir), "category", rules_table(spark, presets.CATEGORY_RULES)
+    )
+
+
 # Merchant correction
 
 
@@ -630,6 +654,47 @@ def enrich_nation(spark, sf_dir):
     )
 
 
+@query
+def mcc_dependency(spark, sf_dir):
+    """Category codes with more than one category."""
+    found = functional_dependency(
+        _full_run(spark, sf_dir).final, ["MerchantCategoryCode"], ["category"]
+    )
+    return found.select(
+        "MerchantCategoryCode", "values", "rows",
+        F.col("least.category").alias("least"), F.col("greatest.category").alias("greatest"),
+    )
+
+
+@query
+def inclusions_found(spark, sf_dir):
+    """Which key columns hold all the values of which others."""
+    columns = {
+        col: (_table(spark, sf_dir, table), col)
+        for table, cols in {
+            "region": ["r_regionkey"],
+            "nation": ["n_nationkey", "n_regionkey"],
+            "customer": ["c_custkey", "c_nationkey"],
+            "supplier": ["s_suppkey", "s_nationkey"],
+            "part": ["p_partkey"],
+            "orders": ["o_orderkey", "o_custkey"],
+            "lineitem": ["l_orderkey", "l_partkey", "l_suppkey"],
+        }.items()
+        for col in cols
+    }
+    return inclusion_dependencies(columns)
+
+
+@query
+def enrich_first_of_repeated(spark, sf_dir):
+    """Nations with the least customer of each, from a reference with repeated keys."""
+    nations = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    customers = _table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").alias("n_nationkey"), "c_custkey", "c_mktsegment"
+    )
+    return enrich(nations, customers, "n_nationkey", repeated="first")
+
+
 @query
 def unmatched_lines(spark, sf_dir):
     """Line items whose (part, supplier) pair no line with a discount has."""

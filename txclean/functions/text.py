@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 # which starts words at spaces only, sees a word start there. Three control
 # characters in this order do not occur in names.
 _WORD_START = "\u0001\u0002\u0001 "
-# Stands for the sharp s, which has no upper case of one letter and must not
-# become "Ss" at the start of a word.
-_SHARP_S = "\u0001\u0002\u0002"
+# Letters without an upper case of one letter, as sharp s and the ligatures, stay as they
+# are at the start of a word; for the time of title-casing, characters of a private area
+# stand for them, which have no case.
+_NO_UPPER = "".join(c for c in map(chr, range(0x80, 0xFFFF)) if len(c.title()) > 1)
+_PRIVATE = "".join(chr(0x10F000 + n) for n in range(len(_NO_UPPER)))
 
 
 def pg_initcap(text: Column) -> Column:
@@ -23,10 +25,11 @@ def pg_initcap(text: Column) -> Column:
     marked = F.regexp_replace(
         text, r"(?<=[^\p{L}\p{N} ])(?=[\p{L}\p{N}])", _WORD_START
     )
-    titled = F.initcap(F.replace(marked, F.lit("ß"), F.lit(_SHARP_S)))
-    return F.replace(
-        F.replace(titled, F.lit(_WORD_START), F.lit("")), F.lit(_SHARP_S), F.lit("ß")
-    )
+    # A capital sigma would become its final form at the end of a word; a small one is
+    # kept, and is capital at the start of a word either way.
+    plain = F.translate(marked, _NO_UPPER + "Σ", _PRIVATE + "σ")
+    titled = F.replace(F.initcap(plain), F.lit(_WORD_START), F.lit(""))
+    return F.translate(titled, _PRIVATE, _NO_UPPER)
 
 
 def _segment(text: Column, size: Column, number: int, distance: int, shift: int = 0) -> Column:

@@ -31,8 +31,11 @@ from txclean.operators.dedup import deduplicate, duplicates, repeat_rows, with_r
 from txclean.operators.key_index import KeyIndex
 from txclean.operators.ledger import AuditLedger
 from txclean.operators.profile import (
+    RepeatedKeys,
     enrich,
     explode_labels,
+    functional_dependency,
+    inclusion_dependencies,
     inject_copies,
     label_profile,
     row_counts,
@@ -51,13 +54,21 @@ from txclean.operators.quality import (
     violation_counts,
 )
 from txclean.operators.repair import fill_from, fix_precision
-from txclean.operators.rules import classify_keywords, relabel_when
+from txclean.operators.rules import (
+    classify_by_table,
+    classify_keywords,
+    keyword_matches,
+    relabel_when,
+    rule_use,
+    rules_table,
+)
 from txclean.operators.standardise import standardise_text
 
 __all__ = [
     "AuditLedger",
     "ConstraintViolation",
     "KeyIndex",
+    "RepeatedKeys",
     "apply_constraints",
     "audit_changes",
     "audit_changes_within",
@@ -72,6 +83,7 @@ __all__ = [
     "check_length",
     "check_not_null",
     "check_unique",
+    "classify_by_table",
     "classify_keywords",
     "cleaning_report",
     "correct_from_dictionary",
@@ -91,7 +103,10 @@ __all__ = [
     "explode_labels",
     "fill_from",
     "fix_precision",
+    "functional_dependency",
+    "inclusion_dependencies",
     "inject_copies",
+    "keyword_matches",
     "label_profile",
     "number_entries",
     "primary_key",
@@ -99,6 +114,8 @@ __all__ = [
     "repeat_rows",
     "row_counts",
     "row_groups",
+    "rule_use",
+    "rules_table",
     "sample_rows",
     "standardise_text",
     "summarise_audit",

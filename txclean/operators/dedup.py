@@ -99,7 +99,7 @@ def repeat_rows(df: DataFrame, times: Column, number: str | None = None) -> Data
     many = (
         counted.where(f"__times > {PIECE}")
         .withColumn("__from", F.explode(F.expr(f"sequence(0L, __times - 1, {PIECE}L)")))
-        .repartition(*df.columns, "__from")
+        .repartition(*_hashable(df), "__from")
     )
     pieces = few.unionByName(many)
     copies = pieces.select(
@@ -111,6 +111,11 @@ def repeat_rows(df: DataFrame, times: Column, number: str | None = None) -> Data
     return copies.withColumnRenamed("__number", number) if number else copies.drop("__number")
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns that rows can be spread by: those without a map."""
+    return [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+
+
 def with_key_hash(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("__hash", F.xxhash64(*keys))
 

@@ -7,8 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from txclean.operators.dedup import repeat_rows
+from txclean.shared import shared_table
 
 
 def row_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
@@ -33,47 +35,91 @@ def label_profile(df: DataFrame, col: str, sep: str = ";") -> DataFrame:
     return explode_labels(df, col, sep).groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
 
 
+#: Hexadecimal digits that a histogram tells apart, and all digits of a row's place.
+DIGITS, ALL_DIGITS = 4, 8 + 64
+
+
 def sample_rows(
-    df: DataFrame, fraction: float, by: Sequence[str] | None = None, seed: int = 1
+    df: DataFrame,
+    fraction: float,
+    by: Sequence[str] | None = None,
+    seed: int = 1,
+    small: int = 50_000,
 ) -> DataFrame:
     """A sample without replacement of exactly round(fraction x rows) rows.
 
     The rows with the smallest hash of `by` (columns which identify a row; all by
-    default) and seed are taken. A histogram over 65,536 hash ranges, which is of
-    fixed size, tells which ranges are in the sample as a whole; only the rows of
-    the one range at its edge are put in order.
+    default) and seed are taken, those with equal hashes in the order of a digest of the
+    whole row. The last one taken is found by selection and not by sorting: a histogram over
+    the first digits tells which range it is in, the next one over the following
+    digits of that range alone, until no more than `small` different places are left. Copies
+    of a row have one place and count by their number, so `by` may have one value on any
+    share of the rows. Histograms have 65,536 bins at most.
     """
     columns = df.columns
-    tagged = df.withColumn("__hash", sample_hash(by or columns, seed)).withColumn(
+    hashed = df.withColumn("__hash", sample_hash(by or columns, seed)).withColumn(
         "__range", F.shiftright("__hash", 16)
     )
-    histogram = tagged.groupBy("__range").agg(F.count(F.lit(1)).alias("held"))
-    upto = Window.orderBy("__range")
-    total = Window.partitionBy()
-    edge = (
-        histogram.withColumn("upto", F.sum("held").over(upto))
-        .withColumn("wanted", F.round(F.lit(fraction) * F.sum("held").over(total)).cast("long"))
-        .where("upto >= wanted and wanted > 0")
-        .orderBy("__range")
-        .select("__range", (F.col("wanted") - F.col("upto") + F.col("held")).alias("missing"))
+    bins = shared_table(hashed.groupBy("__range").agg(F.count(F.lit(1)).alias("held")), "sample-bins")
+    wanted = F.round(F.lit(fraction) * F.sum("held")).cast("long")
+    missing = bins.agg(wanted.alias("wanted")).first()["wanted"] or 0
+    if missing <= 0:
+        return df.where(F.lit(False))
+    edge = _edge(bins, "__range", missing)
+    # The place of a row: its hash, then the digest, as hexadecimal digits of one length.
+    digest = F.sha2(F.to_json(F.struct(*(_without_maps(F.col(f.name), f.dataType).alias(f.name) for f in df.schema)), {"ignoreNullFields": "false"}), 256)
+    at_edge = hashed.where(F.col("__range") == edge["at"]).withColumn(
+        "__place", F.concat(F.lower(F.lpad(F.hex("__hash"), 8, "0")), digest)
+    )
+    places = shared_table(
+        at_edge.groupBy("__place").agg(F.count(F.lit(1)).alias("held")), "sample-edge"
+    )
+    prefix, missing, held = f"{edge['at']:04x}", missing - edge["below"], edge["held"]
+    while held > small and len(prefix) < ALL_DIGITS:
+        digits = F.substring("__place", len(prefix) + 1, DIGITS)
+        bins = places.where(F.col("__place").startswith(prefix)).groupBy(digits.alias("at")).agg(F.sum("held").alias("held"))
+        edge = _edge(bins, "at", missing)
+        prefix, missing, held = prefix + edge["at"], missing - edge["below"], edge["held"]
+    last = _edge(places.where(F.col("__place").startswith(prefix)), "__place", missing)
+    whole = hashed.where(F.col("__range") < int(prefix[:4], 16)).select(*columns)
+    before = at_edge.where(F.col("__place") < last["at"]).select(*columns)
+    # All rows at the last place are copies of one.
+    copies = repeat_rows(
+        at_edge.where(F.col("__place") == last["at"]).select(*columns).limit(1),
+        F.lit(missing - last["below"]),
+    )
+    return whole.unionByName(before).unionByName(copies)
+
+
+def _edge(bins: DataFrame, at: str, wanted: int):
+    """The bin (at, held, below) with which `wanted` rows are reached."""
+    upto = Window.orderBy(at).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        bins.select(F.col(at).alias("at"), "held", F.sum("held").over(upto).alias("upto"))
+        .where(F.col("upto") >= wanted)
+        .orderBy("at")
+        .select("at", "held", (F.col("upto") - F.col("held")).alias("below"))
         .first()
     )
-    if edge is None:
-        return df.where(F.lit(False))
 
-    whole = tagged.where(F.col("__range") < edge["__range"]).select(*columns)
-    order = Window.partitionBy("__range").orderBy("__hash", *columns)
-    at_edge = (
-        tagged.where(F.col("__range") == edge["__range"])
-        .groupBy("__range", "__hash", *columns)
-        .agg(F.count(F.lit(1)).alias("__copies"))
-        .withColumn("__upto", F.sum("__copies").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn(
-            "__taken",
-            F.least("__copies", F.lit(edge["missing"]) - F.col("__upto") + F.col("__copies")),
+
+def _without_maps(value: Column, kind: DataType) -> Column:
+    """The value with each map as its sorted entries, so that equal maps give equal texts."""
+    if isinstance(kind, MapType):
+        entries = F.transform(
+            F.map_entries(value),
+            lambda e: F.struct(
+                _without_maps(e["key"], kind.keyType).alias("key"),
+                _without_maps(e["value"], kind.valueType).alias("value"),
+            ),
         )
-    )
-    return whole.unionByName(repeat_rows(at_edge, F.col("__taken")).select(*columns))
+        return F.array_sort(entries)
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda e: _without_maps(e, kind.elementType))
+    if isinstance(kind, StructType):
+        fields = (_without_maps(value[f.name], f.dataType).alias(f.name) for f in kind)
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return value
 
 
 def sample_hash(by: Sequence[str], seed: int) -> Column:
@@ -89,14 +135,97 @@ def inject_copies(
     return df.unionByName(sample_rows(df, fraction, by, seed))
 
 
-def enrich(df: DataFrame, ref: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Add the columns of a reference relation with unique keys; no match gives nulls.
+class RepeatedKeys(Exception):
+    """Raised where a reference relation has a key more than once; `keys` are some of them."""
+
+    def __init__(self, on: Sequence[str], keys: Sequence[tuple]):
+        self.keys = list(keys)
+        super().__init__(f"the reference has {', '.join(on)} more than once, as {self.keys}")
 
-    The reference's size decides between broadcast and shuffle.
+
+def enrich(
+    df: DataFrame, ref: DataFrame, on: str | Sequence[str], repeated: str = "fail"
+) -> DataFrame:
+    """Add the columns of a reference relation by key; no match gives nulls, and every row
+    stays one row.
+
+    If the reference has keys more than once, `fail` raises `RepeatedKeys` when this is
+    called, `first` takes the least row of a key in the order of its columns, and `all`
+    joins every row of the key. Null keys match nothing. The reference's size decides
+    between broadcast and shuffle.
     """
+    keys = [on] if isinstance(on, str) else list(on)
+    if repeated not in ("fail", "first", "all"):
+        raise ValueError(f"unknown way {repeated!r}")
+    if repeated == "fail":
+        known = ref.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+        if found := known.where("__rows > 1").select(*keys).limit(3).collect():
+            raise RepeatedKeys(keys, [tuple(r) for r in found])
+    if repeated == "first":
+        others = [c for c in ref.columns if c not in keys]
+        if others:
+            ref = ref.groupBy(*keys).agg(F.min(F.struct(*others)).alias("__least")).select(*keys, "__least.*")
+        else:
+            ref = ref.distinct()
     return df.join(ref, on, "left")
 
 
 def unmatched(df: DataFrame, ref: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose values in `on` do not occur together in the reference relation."""
     return df.join(ref.select(*on).distinct(), list(on), "left_anti")
+
+
+def functional_dependency(
+    df: DataFrame, determinant: Sequence[str], dependent: Sequence[str]
+) -> DataFrame:
+    """Where `determinant` doesn't determine `dependent`: one row per broken value of the
+    determinant, with the number of different dependent values, the rows, and the least
+    and greatest dependent value as witnesses. Nulls are values like any other.
+
+    Rows are counted by both before a determinant is looked at, so one that a large share of the
+    rows has costs no more than its different values.
+    """
+    determinant, dependent = list(determinant), list(dependent)
+    value = F.struct(*dependent)
+    counted = df.groupBy(*determinant, *dependent).agg(F.count(F.lit(1)).alias("__rows"))
+    return (
+        counted.groupBy(*determinant)
+        .agg(
+            F.count(F.lit(1)).alias("values"),
+            F.sum("__rows").alias("rows"),
+            F.min(value).alias("least"),
+            F.max(value).alias("greatest"),
+        )
+        .where("values > 1")
+    )
+
+
+def inclusion_dependencies(columns: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Rows (included, within, values): every value of the one column stands in the other.
+
+    `columns` maps names to (frame, column). All values meet in one grouping, as text, each with
+    the set of columns that hold it; from how often each set comes the pairs are counted. So
+    no column is compared with another. Nulls don't count; an empty column is in none.
+    """
+    values = reduce(
+        DataFrame.unionByName,
+        (
+            df.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("value"), F.lit(name).alias("name")).distinct()
+            for name, (df, col) in columns.items()
+        ),
+    )
+    sets = (
+        values.groupBy("value")
+        .agg(F.array_sort(F.collect_set("name")).alias("names"))
+        .groupBy("names")
+        .agg(F.count(F.lit(1)).alias("held"))
+    )
+    pairs = (
+        sets.select("names", "held", F.explode("names").alias("included"))
+        .select("included", "held", F.explode("names").alias("within"))
+        .groupBy("included", "within")
+        .agg(F.sum("held").alias("values"))
+    )
+    own = pairs.where("included = within").select(F.col("included").alias("name"), F.col("values").alias("own"))
+    found = pairs.where("included <> within").join(own, F.col("included") == F.col("name"))
+    return found.where(F.col("values") == F.col("own")).select("included", "within", "values")
