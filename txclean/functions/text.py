@@ -51,17 +51,19 @@ def shifted_segment_keys(text: Column, distance: int) -> Column:
     text may have, and each shift of its segments.
 
     Two texts within the distance share a key of `segment_keys` of the one and of these of
-    the other: an edit changes one segment at most, so one is left, moved by as many places
-    as there are edits before it.
+    the other: an edit changes one segment at most, so one is left, moved by the letters that
+    edits before it have added or taken away. Those behind it make up the rest of the
+    difference in length, and both together are no more than the distance.
     """
     return F.array_distinct(
         F.array_compact(
             F.array(
                 *(
-                    _segment(text, F.length(text) + longer, n, distance, shift)
-                    for longer in range(-distance, distance + 1)
-                    for n in range(distance + 1)
+                    _segment(text, F.length(text) - added, n, distance, shift)
+                    for added in range(-distance, distance + 1)
                     for shift in range(-distance, distance + 1)
+                    if abs(shift) + abs(added - shift) <= distance
+                    for n in range(distance + 1)
                 )
             )
         )

@@ -31,7 +31,6 @@ from txclean.operators.dedup import deduplicate, duplicates, repeat_rows, with_r
 from txclean.operators.key_index import KeyIndex
 from txclean.operators.ledger import AuditLedger
 from txclean.operators.profile import (
-    RepeatedKeys,
     enrich,
     explode_labels,
     functional_dependency,
@@ -68,7 +67,6 @@ __all__ = [
     "AuditLedger",
     "ConstraintViolation",
     "KeyIndex",
-    "RepeatedKeys",
     "apply_constraints",
     "audit_changes",
     "audit_changes_within",

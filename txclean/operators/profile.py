@@ -60,45 +60,45 @@ def sample_rows(
     hashed = df.withColumn("__hash", sample_hash(by or columns, seed)).withColumn(
         "__range", F.shiftright("__hash", 16)
     )
-    bins = shared_table(hashed.groupBy("__range").agg(F.count(F.lit(1)).alias("held")), "sample-bins")
-    wanted = F.round(F.lit(fraction) * F.sum("held")).cast("long")
-    missing = bins.agg(wanted.alias("wanted")).first()["wanted"] or 0
-    if missing <= 0:
+    wanted = F.round(F.lit(fraction) * F.sum("held").over(Window.partitionBy())).cast("long")
+    bins = hashed.groupBy("__range").agg(F.count(F.lit(1)).alias("held")).withColumn("wanted", wanted)
+    edge = _edge(bins.where("wanted > 0"), "__range", F.col("wanted"))
+    if edge is None:
         return df.where(F.lit(False))
-    edge = _edge(bins, "__range", missing)
     # The place of a row: its hash, then the digest, as hexadecimal digits of one length.
-    digest = F.sha2(F.to_json(F.struct(*(_without_maps(F.col(f.name), f.dataType).alias(f.name) for f in df.schema)), {"ignoreNullFields": "false"}), 256)
-    at_edge = hashed.where(F.col("__range") == edge["at"]).withColumn(
-        "__place", F.concat(F.lower(F.lpad(F.hex("__hash"), 8, "0")), digest)
-    )
-    places = shared_table(
-        at_edge.groupBy("__place").agg(F.count(F.lit(1)).alias("held")), "sample-edge"
-    )
-    prefix, missing, held = f"{edge['at']:04x}", missing - edge["below"], edge["held"]
+    values = (_without_maps(F.col(f.name), f.dataType).alias(f.name) for f in df.schema)
+    digest = F.sha2(F.to_json(F.struct(*values), {"ignoreNullFields": "false"}), 256)
+    place = F.concat(F.lower(F.lpad(F.hex("__hash"), 8, "0")), digest)
+    first = edge["at"]
+    in_range = hashed.where(F.col("__range") == first)
+    places = in_range.groupBy(place.alias("__place")).agg(F.count(F.lit(1)).alias("held"))
+    prefix, missing, held = f"{first:04x}", edge["missing"], edge["held"]
+    if held > small:
+        places = shared_table(places, "sample-edge")
     while held > small and len(prefix) < ALL_DIGITS:
         digits = F.substring("__place", len(prefix) + 1, DIGITS)
         bins = places.where(F.col("__place").startswith(prefix)).groupBy(digits.alias("at")).agg(F.sum("held").alias("held"))
-        edge = _edge(bins, "at", missing)
-        prefix, missing, held = prefix + edge["at"], missing - edge["below"], edge["held"]
-    last = _edge(places.where(F.col("__place").startswith(prefix)), "__place", missing)
-    whole = hashed.where(F.col("__range") < int(prefix[:4], 16)).select(*columns)
-    before = at_edge.where(F.col("__place") < last["at"]).select(*columns)
-    # All rows at the last place are copies of one.
-    copies = repeat_rows(
-        at_edge.where(F.col("__place") == last["at"]).select(*columns).limit(1),
-        F.lit(missing - last["below"]),
-    )
-    return whole.unionByName(before).unionByName(copies)
-
-
-def _edge(bins: DataFrame, at: str, wanted: int):
-    """The bin (at, held, below) with which `wanted` rows are reached."""
+        edge = _edge(bins, "at", F.lit(missing))
+        prefix, missing, held = prefix + edge["at"], edge["missing"], edge["held"]
+    last = _edge(places.where(F.col("__place").startswith(prefix)), "__place", F.lit(missing))
+    upto = place < last["at"] if last["missing"] < last["held"] else place <= last["at"]
+    taken = hashed.where((F.col("__range") < first) | ((F.col("__range") == first) & upto)).select(*columns)
+    if last["missing"] == last["held"]:
+        return taken
+    # All rows at the last place are copies of one, and a part of them is taken.
+    one = in_range.where(place == last["at"]).select(*columns).limit(1)
+    return taken.unionByName(repeat_rows(one, F.lit(last["missing"])))
+
+
+def _edge(bins: DataFrame, at: str, wanted: Column):
+    """The bin (at, held, missing) with which `wanted` rows are reached; `missing` of it are."""
     upto = Window.orderBy(at).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        bins.select(F.col(at).alias("at"), "held", F.sum("held").over(upto).alias("upto"))
-        .where(F.col("upto") >= wanted)
+        bins.withColumn("upto", F.sum("held").over(upto))
+        .select(F.col(at).alias("at"), "held", "upto", wanted.alias("wanted"))
+        .where("upto >= wanted")
         .orderBy("at")
-        .select("at", "held", (F.col("upto") - F.col("held")).alias("below"))
+        .select("at", "held", (F.col("wanted") - F.col("upto") + F.col("held")).alias("missing"))
         .first()
     )
 
@@ -135,39 +135,38 @@ def inject_copies(
     return df.unionByName(sample_rows(df, fraction, by, seed))
 
 
-class RepeatedKeys(Exception):
-    """Raised where a reference relation has a key more than once; `keys` are some of them."""
-
-    def __init__(self, on: Sequence[str], keys: Sequence[tuple]):
-        self.keys = list(keys)
-        super().__init__(f"the reference has {', '.join(on)} more than once, as {self.keys}")
-
-
 def enrich(
     df: DataFrame, ref: DataFrame, on: str | Sequence[str], repeated: str = "fail"
 ) -> DataFrame:
     """Add the columns of a reference relation by key; no match gives nulls, and every row
     stays one row.
 
-    If the reference has keys more than once, `fail` raises `RepeatedKeys` when this is
-    called, `first` takes the least row of a key in the order of its columns, and `all`
-    joins every row of the key. Null keys match nothing. The reference's size decides
+    If the reference has keys more than once, `fail` raises an error that names one when
+    the result is read, `first` takes the least row of a key in the order of its columns, and
+    `all` joins every row of the key. Null keys match nothing. The reference's size decides
     between broadcast and shuffle.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if repeated not in ("fail", "first", "all"):
         raise ValueError(f"unknown way {repeated!r}")
-    if repeated == "fail":
-        known = ref.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-        if found := known.where("__rows > 1").select(*keys).limit(3).collect():
-            raise RepeatedKeys(keys, [tuple(r) for r in found])
+    others = [c for c in ref.columns if c not in keys]
+    if repeated == "all":
+        return df.join(ref, on, "left")
+    known = ref.dropna(subset=keys)
+    if not others:
+        return df.join(known.distinct(), on, "left")
+    row = F.struct(*others)
     if repeated == "first":
-        others = [c for c in ref.columns if c not in keys]
-        if others:
-            ref = ref.groupBy(*keys).agg(F.min(F.struct(*others)).alias("__least")).select(*keys, "__least.*")
-        else:
-            ref = ref.distinct()
-    return df.join(ref, on, "left")
+        least = known.groupBy(*keys).agg(F.min(row).alias("__row"))
+    else:
+        counted = known.groupBy(*keys).agg(F.first(row).alias("__row"), F.count(F.lit(1)).alias("__rows"))
+        message = F.concat(
+            F.lit(f"the reference has {', '.join(keys)} more than once: "), F.to_json(F.struct(*keys))
+        )
+        least = counted.withColumn(
+            "__row", F.when(F.col("__rows") > 1, F.raise_error(message)).otherwise(F.col("__row"))
+        )
+    return df.join(least.select(*keys, "__row.*"), on, "left")
 
 
 def unmatched(df: DataFrame, ref: DataFrame, on: Sequence[str]) -> DataFrame:
