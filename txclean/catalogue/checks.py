@@ -338,6 +338,32 @@ _INCLUSIONS = " UNION ALL ".join(
 )
 
 
+_NUMBER = "CAST(substr(transaction_id, 2, 9) AS BIGINT)"
+_CHANGED_RAW = (
+    f"SELECT * REPLACE (CASE WHEN {_NUMBER} % 101 = 0 THEN 'Tseco' ELSE merchant_name END AS merchant_name)"
+    f" FROM raw_before WHERE {_NUMBER} % 211 <> 0"
+    f" UNION ALL SELECT * FROM raw_before WHERE {_NUMBER} % 307 = 0"
+)
+_DATES = """
+SELECT event_id, 'source ' || (event_id % 3) AS source, CASE
+    WHEN event_id % 3 = 0 OR (event_id % 3 = 2 AND day(ts) <= 12) THEN strftime(ts, '%d/%m/%Y %H:%M')
+    WHEN event_id % 3 = 1 THEN strftime(ts, '%m/%d/%Y %H:%M')
+    ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS raw_date
+FROM events"""
+_DATES_READ = f"""
+SELECT *, CASE WHEN d BETWEEN TIMESTAMP '1990-01-01' AND TIMESTAMP '2039-12-31 23:59:59' THEN d END AS as_day,
+  CASE WHEN m BETWEEN TIMESTAMP '1990-01-01' AND TIMESTAMP '2039-12-31 23:59:59' THEN m END AS as_month
+FROM (SELECT *, coalesce(try_strptime(raw_date, '%d/%m/%Y %H:%M'), try_strptime(raw_date, '%Y-%m-%d %H:%M:%S')) AS d,
+  coalesce(try_strptime(raw_date, '%m/%d/%Y %H:%M'), try_strptime(raw_date, '%Y-%m-%d %H:%M:%S')) AS m FROM ({_DATES}))"""
+_DATE_ORDER = f"""
+SELECT *, CASE WHEN day_first > 0 AND month_first > 0 THEN 'mixed' WHEN day_first > 0 THEN 'day'
+  WHEN month_first > 0 THEN 'month' ELSE 'undecided' END AS "order"
+FROM (SELECT source, count(*) AS rows,
+  count(CASE WHEN as_day IS NOT NULL AND as_month IS NULL THEN 1 END) AS day_first,
+  count(CASE WHEN as_day IS NULL AND as_month IS NOT NULL THEN 1 END) AS month_first,
+  count(CASE WHEN as_day <> as_month THEN 1 END) AS either FROM ({_DATES_READ}) GROUP BY ALL)"""
+
+
 def _over_final(select: str) -> str:
     return select.replace("{final}", f"(SELECT *, {_REPEATS} FROM final)")
 
@@ -485,6 +511,10 @@ SELECT label, count(*) AS rows FROM (
         f" UNION ALL SELECT o_orderkey FROM ({_sample(_TWENTIETH)})) GROUP BY ALL",
         "enrich_nation": "SELECT o_orderkey, c_mktsegment, n_name FROM orders"
         " LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey",
+        "date_order_of_sources": _DATE_ORDER,
+        "dates_by_evidence": "SELECT event_id, source, raw_date, \"order\", CASE WHEN as_day IS NULL OR as_month IS NULL"
+        " OR as_day = as_month THEN coalesce(as_day, as_month) WHEN \"order\" = 'day' THEN as_day"
+        f" WHEN \"order\" = 'month' THEN as_month END AS parsed FROM ({_DATES_READ}) JOIN ({_DATE_ORDER}) USING (source)",
         "inclusions_found": _INCLUSIONS,
         "enrich_first_of_repeated": "SELECT n_nationkey, n_name, c_custkey, c_mktsegment FROM nation LEFT JOIN ("
         "SELECT c_nationkey, c_custkey, c_mktsegment FROM customer"
@@ -492,7 +522,15 @@ SELECT label, count(*) AS rows FROM (
         "unmatched_lines": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem l WHERE NOT EXISTS ("
         "SELECT 1 FROM lineitem o WHERE o.l_discount > 0 AND o.l_partkey = l.l_partkey AND o.l_suppkey = l.l_suppkey)",
     }
+    changed = swapped.replace("), raw AS (", "), raw_before AS (").replace(
+        "), dictionary(", f"), raw AS (\n  {_CHANGED_RAW}\n), dictionary("
+    )
+    on_changed = {
+        "rerun_after_change": "SELECT * FROM final",
+        "rerun_summary": _summary(_LOG),
+    }
     return {
+        **{name: f"{changed}\n{sql}" for name, sql in on_changed.items()},
         **{name: f"{swapped}\n{sql}" for name, sql in on_run.items()},
         **{name: f"{full}\n{sql}" for name, sql in on_full.items()},
         "merchant_known_spellings": f"{known}\nSELECT merchant_name, count(*) AS rows FROM staging GROUP BY ALL",

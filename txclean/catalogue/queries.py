@@ -22,6 +22,7 @@ from txclean.operators import (
     correct_from_dictionary,
     correction_map,
     count_factors,
+    date_order,
     deduplicate,
     dictionary_matches,
     duplicates,
@@ -34,6 +35,7 @@ from txclean.operators import (
     inject_copies,
     label_profile,
     number_entries,
+    parse_by_evidence,
     relabel_when,
     rule_use,
     rules_table,
@@ -44,6 +46,7 @@ from txclean.operators import (
 )
 from txclean.plans import presets
 from txclean.plans.pipeline import CleaningResult, bank_transactions, clean, dictionary_from
+from txclean.plans.rerun import Rerun, rerun
 from txclean.shared import scratch as _scratch
 from txclean.shared import shared_table
 from txclean.sources import conform, read_transactions, write_relations
@@ -532,6 +535,29 @@ def cleaning_report(spark, sf_dir):
     return _run(spark, sf_dir).report()
 
 
+# A second run, after some rows have changed, gone or been repeated
+
+
+def _rerun(spark: SparkSession, sf_dir: str) -> Rerun:
+    before = _run(spark, sf_dir)
+    number = F.substring("transaction_id", 2, 9).cast("long")
+    changed = before.raw.where(number % 211 != 0).withColumn(
+        "merchant_name", F.when(number % 101 == 0, F.lit("Tseco")).otherwise(F.col("merchant_name"))
+    )
+    raw = changed.unionByName(before.raw.where(number % 307 == 0))
+    return rerun(before.raw, before.final, before.summary(), raw, before.config)
+
+
+@query
+def rerun_after_change(spark, sf_dir):
+    return _rerun(spark, sf_dir).final
+
+
+@query
+def rerun_summary(spark, sf_dir):
+    return _rerun(spark, sf_dir).summary
+
+
 # The 22-column transaction table, read back through its views
 
 
@@ -607,6 +633,33 @@ def parse_mixed_dates(spark, sf_dir):
     )
 
 
+def _dates_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three sources: one writes the day first, one the month, and of the third's
+    numeric dates none has a day beyond the twelfth."""
+    kind, day = F.col("event_id") % 3, F.dayofmonth("ts")
+    text = (
+        F.when(kind == 0, F.date_format("ts", "dd/MM/yyyy HH:mm"))
+        .when(kind == 1, F.date_format("ts", "MM/dd/yyyy HH:mm"))
+        .when(day <= 12, F.date_format("ts", "dd/MM/yyyy HH:mm"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    )
+    return _table(spark, sf_dir, "events").select(
+        "event_id", F.concat(F.lit("source "), kind.cast("string")).alias("source"), text.alias("raw_date")
+    )
+
+
+@query
+def date_order_of_sources(spark, sf_dir):
+    return date_order(_dates_by_source(spark, sf_dir), "source", "raw_date", "1990-01-01", "2040-01-01")
+
+
+@query
+def dates_by_evidence(spark, sf_dir):
+    return parse_by_evidence(
+        _dates_by_source(spark, sf_dir), "source", "raw_date", "1990-01-01", "2040-01-01"
+    )
+
+
 def _label_profile(spark, sf_dir):
     raw = derived.raw_transactions(spark, sf_dir)
     labelled = raw.select(

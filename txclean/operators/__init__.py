@@ -27,6 +27,7 @@ from txclean.operators.correct import (
     correction_map,
     dictionary_matches,
 )
+from txclean.operators.dates import date_order, parse_by_evidence
 from txclean.operators.dedup import deduplicate, duplicates, repeat_rows, with_row_num
 from txclean.operators.key_index import KeyIndex
 from txclean.operators.ledger import AuditLedger
@@ -93,6 +94,7 @@ __all__ = [
     "count_fills",
     "count_fills_within",
     "count_totals",
+    "date_order",
     "deduplicate",
     "dictionary_matches",
     "duplicates",
@@ -107,6 +109,7 @@ __all__ = [
     "keyword_matches",
     "label_profile",
     "number_entries",
+    "parse_by_evidence",
     "primary_key",
     "relabel_when",
     "repeat_rows",
