@@ -28,6 +28,15 @@ def edge(spark):
     return spark.createDataFrame([(i, t, x, x, x, x, x, x) for i, t, x in EDGE], CLASHING)
 
 
+def test_exact_dedup_keeps_the_type_of_ids(spark):
+    from txclean.llm.exact_dedup import exact_duplicates
+
+    rows = [("b", "x y"), ("a", "xy"), ("c", "z"), (None, "z"), ("d", None)]
+    got = exact_duplicates(spark.createDataFrame(rows, "doc_id string, text string"))
+    assert dict(got.dtypes)["keep_id"] == "string"
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in got.collect()} >= {("b", "b", 2), ("a", "b", 2), ("d", "d", 1)}
+
+
 # Quality
 
 

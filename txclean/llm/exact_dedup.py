@@ -167,7 +167,7 @@ def exact_duplicates(
     index = build_index(df, id_col, text_col, **options)
     entries = index.entries.select("key", "digest", "keep_id", "group_size", "same_bytes")
     checked = F.when(F.col("same_bytes"), F.col("keep_id")).otherwise(
-        F.raise_error(F.lit("two texts with equal SHA-256 differ")).cast("long")
+        F.raise_error(F.lit("two texts with equal SHA-256 differ"))
     )
     return index.rows.join(entries, ["key", "digest"]).select(
         "doc_id",
