@@ -39,7 +39,7 @@ STRETCH = re.compile(rf"[\s{MARK}]*(?:[^ ]+(?:(?<=[\s{MARK}]) +(?:[^ ]+|$))*)?")
 #: Characters below this are read alike by both libraries for byte-level vocabularies (tested one by one).
 PLAIN = re.compile("[\x00-ɏ]*")
 #: Characters of remembered stretches of a worker before it starts afresh.
-REMEMBERED = 2_500_000
+REMEMBERED = 1_500_000
 #: Ends of a lane that are looked for one after the other, beside the other lanes.
 LANE = 64
 #: Id pairs of a row of a slice's list.
@@ -381,7 +381,7 @@ def align_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_groups: bool = False,
-    slice_bytes: int = 5_000_000,
+    slice_bytes: int = 3_500_000,
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, pairs): alignment of a byte-level .json tokenizer (a) with a .model (b).
 
