@@ -193,7 +193,7 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
-    per_class: int = 1500,
+    per_class: int = 1000,
     dimensions: int = 64,
     nearest: int = 15,
     power: float = 4.0,
