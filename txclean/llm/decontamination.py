@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txclean.llm.common import narrow, text_of, with_columns_by_slice
+from txclean.llm.common import narrow, text_of, unused, with_columns_by_slice
 from txclean.shared import shared_table
 
 WORD = re.compile(r"[^\W_]+")
@@ -149,7 +149,8 @@ def find_passages(
     similarity: float = SIMILARITY,
     pass_words: int = PASS_WORDS,
 ) -> DataFrame:
-    """All columns of `df` and `__passages`, an array of (item, start, stop, equal).
+    """All columns of `df` and `__passages`, an array of (item, start, stop, equal), the item
+    in its own type; the column gets further underscores if `df` has one of that name.
 
     Texts are read as lower-case words of letters and digits. A document holds an item
     if `overlap` neighbouring words of the item, or all if it has fewer, stand in it with at
@@ -162,43 +163,39 @@ def find_passages(
     """
     spark = df.sparkSession
     items = narrow(benchmark, item=item_col, text=item_text_col).where("item IS NOT NULL").select(
-        F.col("item").cast("long").alias("item"), text_of().alias("text")
+        "item", text_of().alias("text")
     )
     total = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     passes = max(1, -(-total // (pass_words * 6)))
-    kind = "__passages array<struct<item: bigint, start: int, stop: int, equal: int>>"
-    texts = df.withColumn("__text", text_of(f"`{text_col}`"))
+    of = f"array<struct<item: {dict(items.dtypes)['item']}, start: int, stop: int, equal: int>>"
+    name, own, row, digest = (unused(df, c) for c in ("__passages", "__text", "__row", "__digest"))
+    texts = df.withColumn(own, text_of(f"`{text_col}`"))
 
     def one_pass(rows: DataFrame, number: int) -> DataFrame:
         part = items.where(F.pmod(F.xxhash64("item"), F.lit(passes)) == number)
         index = spark.sparkContext.broadcast(seeds_of([tuple(r) for r in part.toLocalIterator()], overlap, similarity))
 
         def work(batch):
-            docs = [words_of(t) for t in batch.column("__text").to_pylist()]
-            return {"__passages": [passages(hashes_of(d), index.value, overlap, similarity) for d in docs]}
+            docs = [words_of(t) for t in batch.column(own).to_pylist()]
+            return {name: [passages(hashes_of(d), index.value, overlap, similarity) for d in docs]}
 
-        return with_columns_by_slice(rows, kind, work)
+        return with_columns_by_slice(rows, f"`{name}` {of}", work)
 
     if passes == 1:
-        return one_pass(texts, 0).drop("__text")
+        return one_pass(texts, 0).drop(own)
     # Several passes: each leaves what it has found as a table, by text.
-    by_text = texts.select(F.xxhash64("__text").alias("__row"), F.sha2("__text", 256).alias("__digest"), "__text")
+    by_text = texts.select(F.xxhash64(own).alias(row), F.sha2(own, 256).alias(digest), own)
     found = None
     for number in range(passes):
         hit = shared_table(
-            one_pass(by_text, number).where(F.size("__passages") > 0).drop("__text").distinct(), "passages"
+            one_pass(by_text, number).where(F.size(name) > 0).drop(own).distinct(), "passages"
         )
         found = hit if found is None else found.unionByName(hit)
-    merged = found.groupBy("__row", "__digest").agg(
-        F.array_sort(F.flatten(F.collect_list("__passages"))).alias("__passages")
-    )
+    merged = found.groupBy(row, digest).agg(F.array_sort(F.flatten(F.collect_list(name))).alias(name))
     return (
-        texts.withColumn("__row", F.xxhash64("__text"))
-        .withColumn("__digest", F.sha2("__text", 256))
-        .join(merged, ["__row", "__digest"], "left")
-        .withColumn(
-            "__passages",
-            F.coalesce("__passages", F.expr("CAST(array() AS ARRAY<STRUCT<item: BIGINT, start: INT, stop: INT, equal: INT>>)")),
-        )
-        .select(*df.columns, "__passages")
+        texts.withColumn(row, F.xxhash64(own))
+        .withColumn(digest, F.sha2(own, 256))
+        .join(merged, [row, digest], "left")
+        .withColumn(name, F.coalesce(name, F.expr(f"CAST(array() AS {of})")))
+        .select(*(f"`{c}`" for c in df.columns), name)
     )

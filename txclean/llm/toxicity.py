@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txclean.llm.common import in_slices, text_of, with_columns_by_slice
+from txclean.llm.common import in_slices, text_of, unused, with_columns_by_slice
 from txclean.shared import shared_table
 
 #: Letters of a subsequence, the longest stretch it may span, and the decay per letter.
@@ -440,15 +440,18 @@ def train(
 
 def score(df: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
     """All columns of `df` and a score in [0, 1]; above 0.5 is toxic. Null and empty
-    texts get what a text without any insult gets. Rows are independent of each other."""
+    texts get what a text without any insult gets. Rows are independent of each other. If `df`
+    has a column of that name, the score's gets underscores before it."""
+    name = unused(df, name)
+    own = unused(df, "__text")
     sent = df.sparkSession.sparkContext.broadcast(model)
     state: dict = {}
 
     def work(batch):
         if "reader" not in state:
             state["reader"] = Reader(sent.value)
-        values = state["reader"].documents(batch.column("__text").to_pylist())
+        values = state["reader"].documents(batch.column(own).to_pylist())
         return {name: pa.array([sent.value.probability(v) for v in values], pa.float64())}
 
-    texts = df.withColumn("__text", text_of(f"`{text_col}`"))
-    return with_columns_by_slice(texts, f"`{name}` double", work).drop("__text")
+    texts = df.withColumn(own, text_of(f"`{text_col}`"))
+    return with_columns_by_slice(texts, f"`{name}` double", work).drop(own)
