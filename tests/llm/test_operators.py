@@ -14,7 +14,6 @@ from txclean.llm import (
     graph,
     line_dedup,
     queries,
-    shingle_dedup,
     simhash_dedup,
     stages,
     substring_dedup,
@@ -165,37 +164,13 @@ def test_simhash(spark, edge, empty):
     assert simhash_dedup.near_duplicates(empty).count() == 0
 
 
-def shingle_sets(docs):
-    words = {d["doc_id"]: (d["text"] or "").encode().lower().split() for d in docs}
-    return {
-        i: {tuple(ws[k : k + 5]) for k in range(max(1, len(ws) - 4))} if ws else set() for i, ws in words.items()
-    }
-
-
-def jaccard(a, b):
-    return len(a & b) / len(a | b) if a | b else 1.0
-
-
-def test_near_dedup_stage_goes_by_shingles(spark, edge, empty):
-    rng = random.Random(7)
-    base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
-
-    def changed(*places):
-        return " ".join("new" + str(n) if n in places else w for n, w in enumerate(base))
-
-    # Similarities to the first: 1, 0.90, 0.81, 0.73.
-    texts = [" ".join(base), " ".join(base).upper(), changed(50), changed(30, 70), changed(20, 45, 80)]
-    rows = [(n, t) for n, t in enumerate(texts)]
-    kept = stages.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF_DIR)
-    assert sorted(r.doc_id for r in kept.collect()) == [0, 4]
-
+def test_near_dedup_stage_links_by_fingerprints(spark, edge):
     docs = rows_of("documents")
-    sets = shingle_sets(docs)
-    expected = components(sorted(sets), lambda a, b: jaccard(sets[a], sets[b]) >= 0.8)
-    got = {r.doc_id: r.component_id for r in shingle_dedup.similar_documents(spark.createDataFrame(docs)).collect()}
-    assert got == expected
+    kept = stages.near_dedup(spark, spark.createDataFrame(docs), SF_DIR).collect()
+    prints = {d["doc_id"]: simhash_dedup.fingerprint(d["text"] or "", 4) for d in docs}
+    group = components(sorted(prints), lambda a, b: (int(prints[a]) ^ int(prints[b])).bit_count() <= 4)
+    assert sorted(r.doc_id for r in kept) == sorted(set(group.values()))
     assert sorted(str(r.doc_id) for r in stages.near_dedup(spark, edge, SF_DIR).collect()) == ["1", "4", "6", "None"]
-    assert shingle_dedup.similar_documents(empty).count() == 0
 
 
 def test_large_buckets_go_in_blocks(spark, monkeypatch):
@@ -214,19 +189,29 @@ def test_large_buckets_go_in_blocks(spark, monkeypatch):
         assert {p: found.get(p, p) for p in prints} == expected
 
 
-def test_lines(spark, edge, empty):
-    docs = rows_of("documents")
-    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(docs)).collect()}
+def places_of_lines(docs):
     places: dict[str, list] = {}
     for d in docs:
-        for n, line in enumerate(d["text"].split("\n")):
-            if len(words := line_dedup.normalised(line)) >= 3:
+        for n, line in enumerate((d["text"] or "").split("\n")):
+            if words := line_dedup.normalised(line):
                 places.setdefault(" ".join(words), []).append((d["doc_id"], n))
+    return places
+
+
+def keys_of_lines(lines):
+    keys = {line: set() for line in lines}
+    for place, key in zip(*(x.tolist() for x in line_dedup.block_keys([x.split(" ") for x in lines])), strict=True):
+        keys[lines[place]].add(key)
+    return keys
+
+
+def test_lines(spark, edge, empty):
+    docs = rows_of("documents")
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(docs), least_words=1).collect()}
+    places = places_of_lines(docs)
     lines = list(places)
-    prints = dict(zip(lines, line_dedup.simhashes([x.split(" ") for x in lines]).tolist(), strict=True))
-    group = components(
-        lines, lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3 and line_dedup.similar(a, b)
-    )
+    keys = keys_of_lines(lines)
+    group = components(lines, lambda a, b: not keys[a].isdisjoint(keys[b]) and line_dedup.similar(a, b))
     groups: dict[str, list] = {}
     for line in lines:
         groups.setdefault(group[line], []).extend(places[line])
@@ -240,6 +225,75 @@ def test_lines(spark, edge, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_keys_bring_similar_lines_together():
+    lines = list(places_of_lines(rows_of("documents")))
+    runs: dict[tuple, list] = {}
+    for line in lines:
+        words = line.split(" ")
+        for run in {*zip(words, words[1:], strict=False), *((w,) for w in words if len(w) > 5)}:
+            runs.setdefault(run, []).append(line)
+    pairs = {p for held in runs.values() for p in itertools.combinations(held, 2)}
+    near = [(a, b) for a, b in pairs if line_dedup.similar(a, b)]
+    keys = keys_of_lines(lines)
+    assert sum(not keys[a].isdisjoint(keys[b]) for a, b in near) >= 0.9 * len(near) > 0
+    rng = random.Random(5)
+    vocabulary = sorted({w for line in lines for w in line.split(" ")})
+    met = []
+    while len(met) < 300:
+        words = rng.choices(vocabulary, k=rng.randrange(8, 41))
+        changed = [*words]
+        changed[rng.randrange(len(words))] = rng.choice(vocabulary)
+        if line_dedup.similar(" ".join(words), " ".join(changed)):
+            place, key = line_dedup.block_keys([words, changed])
+            met.append(np.intersect1d(key[place == 0], key[place == 1]).size > 0)
+    print("one word changed:", sum(met), "of", len(met))
+    assert sum(met) >= 0.95 * len(met)
+
+
+def test_blocks_are_signs_of_sums():
+    import xxhash
+
+    words = [f"w{n}" for n in range(700)]
+    line = words + words[:9]
+    place, key = line_dedup.block_keys([["a"], line])
+    assert place.tolist() == [0] + [1] * 12
+    blocks: dict[int, list] = {}
+    for h in map(xxhash.xxh3_64_intdigest, words):
+        blocks.setdefault((h >> 40) % 8, []).append(h)
+    for n, got in enumerate(key[1:].tolist()):
+        own = blocks[n]
+        sign = sum(1 << bit for bit in range(64) if sum(h >> bit & 1 for h in own) * 2 > len(own))
+        assert got % 2**64 == (sign + (n + 64 * 2 + 1) * 0x9E3779B97F4A7C15) % 2**64
+
+
+HELPERS = ["__id", "__row", "__r", "__drop", "__lines", "__dropped", "__text", "__passages", "__digest", "__score", "__rows", "score", "key", "line", "component"]
+
+
+def test_no_column_of_the_input_is_lost_or_changed(spark):
+    line = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+    rows = [(n, t, *(f"{h}{n}" for h in HELPERS)) for n, t in enumerate([line, line + "\nmore", None, "Clean words."])]
+    df = spark.createDataFrame(rows, ", ".join(["doc_id long, text string", *(f"`{h}` string" for h in HELPERS)]))
+    bench = spark.createDataFrame([("a", line), ("b", line + " more")], "item_id string, text string")
+
+    def own(result):
+        return sorted(tuple(r)[: len(rows[0])][:1] + tuple(r)[2 : len(rows[0])] for r in result.select(*df.columns).collect())
+
+    whole = sorted((r[0], *r[2:]) for r in rows)
+    for out, added in (
+        (line_dedup.dedup_lines(df), ["___lines", "___dropped"]),
+        (decontamination.find_passages(df, bench), ["___passages"]),
+        (decontamination.find_passages(df, bench, pass_words=2), ["___passages"]),
+        (toxicity.score(df, queries.toxicity_model(spark, SF_DIR)), ["_score"]),
+    ):
+        assert out.columns == df.columns + added and own(out) == whole
+    found = decontamination.find_passages(df, bench).where("doc_id = 0").first()["___passages"]
+    assert [p.item for p in found] == ["a", "b"]
+    assert own(stages.toxicity(spark, df, SF_DIR)) == whole
+    assert own(stages.line_dedup(spark, df, SF_DIR)) == whole
+    assert own(stages.near_dedup(spark, df, SF_DIR)) == whole
+    assert own(stages.decontamination(spark, df, SF_DIR)) == whole
+
+
 def test_short_lines_repeat_in_no_result(spark):
     docs = [(d["doc_id"], d["text"]) for d in rows_of("documents")]
     docs += [(-1, "Read more\n全文公开发布\n...\n\nx"), (-2, "x\nread  MORE!\n全文公开发布。\n...\n\ny")]

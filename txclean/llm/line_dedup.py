@@ -1,16 +1,16 @@
 """Lines that repeat, exactly or nearly, across all documents.
 
-Lines are normalised to lower-case words. Of each distinct line the SimHash of its words
-is cut into five blocks; lines within 3 bits agree in two of the blocks at least, so
-two blocks make a key and lines that share one are compared. What is linked by
-fingerprint is compared again by edit distance, text by text, and one occurrence of each connected group
-stays, the first by document id and place.
+Lines are normalised to lower-case words. The SimHash of a line has blocks of 64 bits, and
+each different word votes in one block only, which its own hash picks. So a changed word touches two blocks at
+most, and by the pigeonhole principle lines that differ in fewer words than half the blocks
+agree in a block whole; only where light blocks are joined, a changed word may move the joints behind it. Blocks
+are join keys: the fingerprint proposes lines, and edit similarity alone decides, text by
+text. One occurrence of each connected group stays, the first by document id and place.
 """
 
 from __future__ import annotations
 
 import re
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +18,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txclean.llm.common import in_slices, text_of, with_columns_by_slice
+from txclean.llm.common import in_slices, text_of, unused, with_columns_by_slice
 from txclean.llm.graph import bucket_links, connected_components
 from txclean.shared import shared_table
 
 WORD = re.compile(r"[^\W_]+")
-#: Widths of the blocks. Of five blocks two are free of 3 errors.
-BLOCKS = (13, 13, 13, 13, 12)
-MOST_BITS = 3
 SIMILARITY = 0.8
+#: (length, blocks, letters): lines of so many characters or more have so many blocks, and a
+#: block of fewer letters is joined with the next, as common words alone would meet everywhere.
+TIERS = ((0, 4, 10), (80, 4, 16), (250, 8, 18))
 #: Lines with fewer words stay unless the caller asks for less; the query and the stage ask for 1.
 LEAST_WORDS = 3
 #: So many bytes of 0 and 1 add up without a carry into the next.
@@ -49,47 +49,84 @@ def spaced(text: str) -> list[str]:
         return [" ".join(normalised(text))]
 
 
-def simhashes(lines: pa.ListArray | list[list[str]]) -> np.ndarray:
-    """Sign, bit by bit, of the sum over a line's words of their hashes' bits; no line is empty."""
+def votes(bits: np.ndarray, number: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sign, bit by bit, of the sum of the hashes' bits of neighbouring words, `sizes` of them each time.
+
+    `bits`: of each distinct word, its hash's bits, a byte each, eight bytes to a number.
+    """
+    # Stretches are added up first, some at a time, and then the stretches of a block.
+    pieces = -(-sizes // STRETCH)
+    heads = np.cumsum(pieces) - pieces
+    within_block = np.arange(pieces.sum()) - np.repeat(heads, pieces)
+    begins = np.repeat(np.cumsum(sizes) - sizes, pieces) + within_block * STRETCH
+    ends = np.append(begins[1:], len(number))
+    sums = np.empty((len(begins), 8), np.uint64)
+    at = 0
+    while at < len(begins):
+        first = begins[at]
+        stop = max(at + 1, int(np.searchsorted(ends, first + 200_000, "right")))
+        np.add.reduceat(bits[number[first : ends[stop - 1]]], begins[at:stop] - first, axis=0, out=sums[at:stop])
+        at = stop
+    counts = sums.view(np.uint8)
+    if len(begins) == len(sizes):
+        most = counts > (sizes >> 1).astype(np.uint8)[:, None]
+    else:
+        most = np.add.reduceat(counts, heads, axis=0, dtype=np.int64) > (sizes >> 1)[:, None]
+    return np.packbits(most, axis=1, bitorder="little").view(np.uint64)[:, 0]
+
+
+def block_keys(lines: pa.ListArray | list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of lines, ascending within a tier, and their keys, one for each block of a line.
+
+    A line has the blocks of its tier, and those of the next tier if a line that is similar
+    may be long enough for it. No line is empty.
+    """
     import xxhash
 
     lines = lines if isinstance(lines, pa.Array) else pa.array(lines, pa.list_(pa.string()))
-    out = np.zeros(len(lines), np.uint64)
-    sizes = pc.list_value_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
     words = lines.flatten().dictionary_encode()
     number = words.indices.to_numpy()
     hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in words.dictionary.to_pylist()], np.uint64)
-    # A row for each word: its hash's bits, a byte each, eight bytes to a number.
+    letters = pc.utf8_length(words.dictionary).to_numpy(zero_copy_only=False).astype(np.int64)
     bits = np.unpackbits(hashed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view(np.uint64)
-    ends = np.cumsum(sizes)
-    at = 0
-    while at < len(lines):  # some lines at a time; a line alone may be longer
-        first = int(ends[at] - sizes[at])
-        stop = max(at + 1, int(np.searchsorted(ends, first + 200_000, "right")))
-        index = number[first : int(ends[stop - 1])]
-        # Stretches of a line are added up first, then the stretches.
-        pieces = -(-sizes[at:stop] // STRETCH)
-        heads = np.cumsum(pieces) - pieces
-        within_line = np.arange(pieces.sum()) - np.repeat(heads, pieces)
-        begins = np.repeat(ends[at:stop] - sizes[at:stop] - first, pieces) + within_line * STRETCH
-        sums = np.add.reduceat(bits[index], begins, axis=0).view(np.uint8)
-        if len(sums) > stop - at:
-            sums = np.add.reduceat(sums, heads, axis=0, dtype=np.int64)
-        most = sums.astype(np.int64) * 2 > sizes[at:stop, None]
-        out[at:stop] = np.packbits(most, axis=1, bitorder="little").view(np.uint64)[:, 0]
-        at = stop
-    return out
-
-
-def block_keys(prints: np.ndarray) -> list[np.ndarray]:
-    parts, shift = [], 0
-    for width in BLOCKS:
-        parts.append((prints >> np.uint64(shift) & np.uint64((1 << width) - 1)).astype(np.int64))
-        shift += width
-    return [
-        (number << 26) | (parts[i] << 13) | parts[j]
-        for number, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))
-    ]
+    sizes = pc.list_value_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
+    line = np.repeat(np.arange(len(lines)), sizes)
+    length = np.bincount(line, letters[number], len(lines)) + sizes - 1
+    # Each different word of a line votes once, or a common word would settle its block alone.
+    line, number = np.divmod(np.unique(line * len(hashed) + number), len(hashed))
+    places, keys = [], []
+    for tier, (low, blocks, least) in enumerate(TIERS):
+        high = TIERS[tier + 1][0] if tier + 1 < len(TIERS) else np.inf
+        lines_here = np.flatnonzero((length < high) & (length >= low * SIMILARITY))
+        if not len(lines_here):
+            continue
+        here = np.zeros(len(lines), bool)
+        here[lines_here] = True
+        used = here[line]
+        word, own = number[used], (np.cumsum(here) - 1)[line[used]]
+        block = (hashed[word] >> np.uint64(40)).astype(np.int64) % blocks
+        weight = np.bincount(own * blocks + block, letters[word], len(lines_here) * blocks).reshape(-1, blocks)
+        # Blocks in order, joined until they are heavy enough; what is left at the end has no key.
+        part = np.empty(weight.shape, np.int64)
+        last = np.full(weight.shape, blocks)
+        held, count, row = np.zeros(len(weight)), np.zeros(len(weight), np.int64), np.arange(len(weight))
+        for b in range(blocks):
+            held += weight[:, b]
+            part[:, b] = count
+            full = held >= least
+            last[row[full], count[full]] = b
+            count += full
+            held[full] = 0
+        count = np.maximum(count, 1)  # a light line is one block
+        part = part[own, block]
+        voting = part < count[own]
+        cell = ((np.cumsum(count) - count)[own] + part)[voting]
+        order = np.argsort(cell, kind="stable")
+        found = votes(bits, word[voting][order], np.bincount(cell))
+        salt = last[np.arange(blocks) < count[:, None]] + 64 * tier + 1
+        places.append(np.repeat(lines_here, count))
+        keys.append((found + salt.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64))
+    return np.concatenate(places), np.concatenate(keys)
 
 
 def within(a: str, b: str, most: int) -> bool:
@@ -163,17 +200,16 @@ def similar(a: str, b: str, similarity: float = SIMILARITY) -> bool:
     return walked(a.split(" "), b.split(" "), most) or within(a, b, most)
 
 
-def _near_bits(rows, i, js):
-    prints = rows["fp"].view(np.uint64)
-    return np.bitwise_count(prints[js] ^ prints[i]) <= MOST_BITS
-
-
-def _near_text(rows, i, js):
-    hit = _near_bits(rows, i, js)
+def _near(rows, i, js):
     texts = rows["norm"]
     own = np.broadcast_to(i, js.shape)
-    for at in np.flatnonzero(hit):
-        hit[at] = similar(texts[own[at]], texts[js[at]])
+    return np.array([similar(texts[a], texts[b]) for a, b in zip(own.tolist(), js.tolist(), strict=True)], bool)
+
+
+def _near_apart(rows, i, js):
+    hit = rows["grp"][js] != rows["grp"][i]
+    at = np.flatnonzero(hit)
+    hit[at] = _near(rows, np.broadcast_to(i, js.shape)[at], js[at])
     return hit
 
 
@@ -181,11 +217,11 @@ def dedup_lines(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS
 ) -> DataFrame:
     """All columns of `df`, its text without the repeated lines, and `__lines`,
-    `__dropped`: how many it had and lost.
+    `__dropped`: how many it had and lost (under further underscores if `df` has such columns).
 
-    Lines end at line feeds. Two lines are linked if their words' SimHashes differ in at
-    most 3 bits and their words, joined by one space, have an edit similarity (1 less distance over the
-    longer length) of 0.8 or more; equal words are linked. Lines with fewer than
+    Lines end at line feeds. Two lines are linked if their words, joined by one space, have
+    an edit similarity (1 less distance over the longer length) of 0.8 or more and their SimHashes
+    agree in a block; equal words are linked. Lines with fewer than
     `least_words` words stay; with 1 only those without letters and digits do. A null text stays null and has no line. Rows with a null id
     neither lose lines nor count. Rows that repeat an id and a text are one document and
     lose the same lines. An empty table gives none.
@@ -216,97 +252,111 @@ def dedup_lines(
             same, which = pa.array(np.array(at)[taken]), place[which[taken]]
             joined = pc.binary_join(words, " ").to_pylist()
             hashed = np.array([xxhash.xxh3_64_intdigest(line) for line in joined], np.uint64)
+            owner, keys = block_keys(words)
+            ends = np.append(0, np.cumsum(np.bincount(owner, minlength=len(words))))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[np.argsort(owner, kind="stable")]))
+            # The keys of a line stand at its first occurrence in the slice.
+            later = np.ones(len(which), bool)
+            later[np.unique(which, return_index=True)[1]] = False
             yield {
                 "doc_id": batch.column("doc_id").take(same),
                 "row": batch.column("row").take(same),
                 "line_no": pa.array(np.array(line_no)[taken], pa.int32()),
                 "line": pa.array(hashed[which].view(np.int64)),
-                "fp": pa.array(simhashes(words)[which].view(np.int64)),
+                "keys": lists.take(pa.array(which, mask=later)),
             }
 
     found = shared_table(
         in_slices(
             rows.where("doc_id IS NOT NULL"),
-            f"doc_id {kind}, row long, line_no int, line long, fp long",
+            f"doc_id {kind}, row long, line_no int, line long, keys array<long>",
             cut,
         ),
         "lines",
     )
     place = F.struct("doc_id", "line_no", "row")
     distinct = shared_table(
-        found.groupBy("line", "fp").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")),
-        "distinct-lines",
+        found.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")), "distinct-lines"
     )
-
-    def keyed(batch):
-        fps, lines = batch.column("fp").to_numpy(), batch.column("line").to_numpy()
-        keys = block_keys(fps.view(np.uint64))
-        yield {
-            "key": pa.array(np.concatenate(keys)),
-            "line": pa.array(np.tile(lines, len(keys))),
-            "fp": pa.array(np.tile(fps, len(keys))),
-        }
-
-    close = bucket_links(
-        in_slices(distinct.select("line", "fp"), "key long, line long, fp long", keyed, 400_000),
-        "line",
-        ["fp"],
-        _near_bits,
+    keyed = found.select("line", F.explode("keys").alias("key"))
+    shared = shared_table(
+        keyed.groupBy("key")
+        .agg(F.min("line").alias("low"), F.max("line").alias("high"), F.count(F.lit(1)).alias("size"))
+        .where("low < high")
+        .select("key", "size"),
+        "shared-keys",
+    )
+    close = (
+        keyed.join(shared, "key")
+        .groupBy("line")
+        .agg(F.max(F.struct("size", "key"))["key"].alias("key"), F.collect_set("key").alias("keys"))
     )
-    groups = shared_table(connected_components(close), "close-lines")
-    # Texts of the lines that are close to another, each read at its first occurrence.
+    # Texts of the lines that share a key with another, each read at its first occurrence.
     wanted = (
-        distinct.join(groups.withColumnRenamed("node", "line"), "line")
-        .select("line", "fp", "component", "first.*")
+        distinct.join(close, "line")
+        .select("line", "key", "keys", "first.*")
         .groupBy("doc_id", "row")
-        .agg(F.collect_list(F.struct("line_no", "line", "fp", "component")).alias("wanted"))
+        .agg(F.collect_list(F.struct("line_no", "line", "key", "keys")).alias("wanted"))
     )
 
     def read(batch):
-        out: dict = {"key": [], "line": [], "fp": [], "norm": []}
+        out: dict = {"key": [], "line": [], "keys": [], "norm": []}
         for text, lines in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
             split = text.split("\n")
             for w in lines:
-                out["key"].append(w["component"])
-                out["line"].append(w["line"])
-                out["fp"].append(w["fp"])
+                for c in ("key", "line", "keys"):
+                    out[c].append(w[c])
                 out["norm"].append(" ".join(normalised(split[w["line_no"]])))
         yield out
 
-    texts = in_slices(
-        rows.join(wanted, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"]),
-        "key long, line long, fp long, norm string",
-        read,
+    texts = shared_table(
+        in_slices(
+            rows.join(wanted, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"]),
+            "key long, line long, keys array<long>, norm string",
+            read,
+        ),
+        "close-lines",
+    )
+    # Each line is compared under its most common key first. Another key matters only
+    # where it holds lines that are not in one group by then.
+    first = bucket_links(texts.select("key", "line", "norm"), "line", ["norm"], _near)
+    grouped = texts.join(connected_components(first).withColumnRenamed("node", "line"), "line", "left").select(
+        "line", "norm", F.coalesce("component", "line").alias("grp"), F.explode("keys").alias("key")
+    )
+    mixed = (
+        grouped.groupBy("key").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high").select("key")
     )
-    links = bucket_links(texts, "line", ["fp", "norm"], _near_text)
-    parts = connected_components(links).withColumnRenamed("node", "line")
+    second = bucket_links(grouped.join(mixed, "key"), "line", ["grp", "norm"], _near_apart)
+    parts = connected_components(first.unionByName(second)).withColumnRenamed("node", "line")
     named = distinct.join(parts, "line", "left").withColumn("grp", F.coalesce("component", "line"))
     kept = named.groupBy("grp").agg(F.min("first").alias("keep"), F.sum("times").alias("all_times"))
     repeated = shared_table(
         named.join(kept.where("all_times > 1"), "grp").select("line", "keep"), "repeated-lines"
     )
+    ident, digest, drop, n_lines, n_dropped = (
+        unused(df, c) for c in ("__id", "__row", "__drop", "__lines", "__dropped")
+    )
     dropped = (
         found.join(repeated, "line")
         .where(place != F.col("keep"))
         .groupBy("doc_id", "row")
-        .agg(F.collect_set("line_no").alias("__drop"))
-        .select(F.col("doc_id").alias("__id"), F.col("row").alias("__r"), "__drop")
-    )
-    whole = (
-        df.withColumn("__row", F.xxhash64(text_of(f"`{text_col}`")))
-        .join(dropped, (F.col(f"`{id_col}`") == F.col("__id")) & (F.col("__row") == F.col("__r")), "left")
-        .select(*(f"`{c}`" for c in df.columns), "__drop")
+        .agg(F.collect_set("line_no").alias(drop))
+        .select(F.col("doc_id").alias(ident), F.col("row").alias(digest), drop)
     )
+    whole = df.join(
+        dropped,
+        (df[f"`{id_col}`"] == dropped[ident]) & (F.xxhash64(text_of(f"`{text_col}`")) == dropped[digest]),
+        "left",
+    ).select(*(f"`{c}`" for c in df.columns), drop)
 
     def work(batch):
         texts, lines, lost = [], [], []
-        for text, drop in zip(batch.column(text_col).to_pylist(), batch.column("__drop").to_pylist(), strict=True):
+        for text, gone in zip(batch.column(text_col).to_pylist(), batch.column(drop).to_pylist(), strict=True):
             split = text.split("\n") if text is not None else []
-            gone = set(drop or ())
+            gone = set(gone or ())
             texts.append("\n".join(s for n, s in enumerate(split) if n not in gone) if text is not None else None)
             lines.append(len(split))
             lost.append(len(gone))
-        return {text_col: pa.array(texts, batch.schema.field(text_col).type), "__lines": lines, "__dropped": lost}
-
-    return with_columns_by_slice(whole, "__lines int, __dropped int", work).drop("__drop")
+        return {text_col: pa.array(texts, batch.schema.field(text_col).type), n_lines: lines, n_dropped: lost}
 
+    return with_columns_by_slice(whole, f"`{n_lines}` int, `{n_dropped}` int", work).drop(drop)
