@@ -256,7 +256,7 @@ def test_blocks_are_signs_of_sums():
     words = [f"w{n}" for n in range(700)]
     line = words + words[:9]
     place, key = line_dedup.block_keys([["a"], line])
-    assert place.tolist() == [0] + [1] * 12
+    assert place.tolist() == [0] + [1] * 8
     blocks: dict[int, list] = {}
     for h in map(xxhash.xxh3_64_intdigest, words):
         blocks.setdefault((h >> 40) % 8, []).append(h)
