@@ -86,14 +86,17 @@ def block_keys(lines: pa.ListArray | list[list[str]]) -> tuple[np.ndarray, np.nd
     lines = lines if isinstance(lines, pa.Array) else pa.array(lines, pa.list_(pa.string()))
     words = lines.flatten().dictionary_encode()
     number = words.indices.to_numpy()
-    hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in words.dictionary.to_pylist()], np.uint64)
+    hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in words.dictionary.to_numpy(zero_copy_only=False)], np.uint64)
     letters = pc.utf8_length(words.dictionary).to_numpy(zero_copy_only=False).astype(np.int64)
     bits = np.unpackbits(hashed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view(np.uint64)
     sizes = pc.list_value_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
     line = np.repeat(np.arange(len(lines)), sizes)
     length = np.bincount(line, letters[number], len(lines)) + sizes - 1
     # Each different word of a line votes once, or a common word would settle its block alone.
-    line, number = np.divmod(np.unique(line * len(hashed) + number), len(hashed))
+    shift = len(hashed).bit_length()
+    once = np.sort(line << shift | number)
+    once = once[np.append(True, once[1:] != once[:-1])]
+    line, number = once >> shift, once & (1 << shift) - 1
     places, keys = [], []
     for tier, (low, blocks, least) in enumerate(TIERS):
         high = TIERS[tier + 1][0] if tier + 1 < len(TIERS) else np.inf
@@ -104,7 +107,7 @@ def block_keys(lines: pa.ListArray | list[list[str]]) -> tuple[np.ndarray, np.nd
         here[lines_here] = True
         used = here[line]
         word, own = number[used], (np.cumsum(here) - 1)[line[used]]
-        block = (hashed[word] >> np.uint64(40)).astype(np.int64) % blocks
+        block = ((hashed >> np.uint64(40)).astype(np.int64) % blocks)[word]
         weight = np.bincount(own * blocks + block, letters[word], len(lines_here) * blocks).reshape(-1, blocks)
         # Blocks in order, joined until they are heavy enough; what is left at the end has no key.
         part = np.empty(weight.shape, np.int64)
@@ -250,7 +253,7 @@ def dedup_lines(
             place, which = np.cumsum(long) - 1, np.array(which)
             taken = long[which]
             same, which = pa.array(np.array(at)[taken]), place[which[taken]]
-            joined = pc.binary_join(words, " ").to_pylist()
+            joined = pc.binary_join(words, " ").to_numpy(zero_copy_only=False)
             hashed = np.array([xxhash.xxh3_64_intdigest(line) for line in joined], np.uint64)
             owner, keys = block_keys(words)
             ends = np.append(0, np.cumsum(np.bincount(owner, minlength=len(words))))
