@@ -1,16 +1,17 @@
-"""Main text of web pages by deduction of a site's template.
-
-Tokens are the elements of a page, told apart by the path of elements they stand in.
-The tokens of one host that stand once in nearly every page, and whose
-paths nest, are the frame of its template. The slot of the frame with the most varying
-text, menus and the like set aside, is where the main text stands, and each page's text
-is read from it. Occurrence vectors are compared by nothing: no other class is formed, so
-a host has one template and one slot, whatever layouts its pages have.
+"""Main text of web pages by deduction of a site's template from equivalence classes.
+
+Tokens are the elements of a page, told apart by the path of elements they stand in. Tokens
+of one host with the same occurrence vector (how often each stands in every page) form a
+class. A class is frequent if enough pages have it, and valid if its tokens stand once in each of those
+pages, in one order, and nest: what is above a member belongs to a valid class too. Valid
+classes, one within a slot of the other, are the host's template; the classes that a page has are its
+layout. Every slot of the layout with varying text, menus and the like set aside, is read.
 """
 
 from __future__ import annotations
 
 import html
+import json
 import re
 from collections import Counter
 
@@ -49,6 +50,8 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPACE = re.compile(r"\s+")
+#: A class is frequent if one page in so many has it, and at least two do where there are two.
+SUPPORT = 100
 
 
 def _signature(tag: str, attributes: str) -> tuple[str, bool]:
@@ -65,19 +68,31 @@ def _signature(tag: str, attributes: str) -> tuple[str, bool]:
 
 
 def parse(page: str) -> tuple[Counter, list[tuple[str, str, bool]]]:
-    """Occurrences of each element path, and the blocks: (path, text, set aside)."""
+    """Occurrences of each element path, in order of the first, and the blocks: (path, text, set aside)."""
+    seen, blocks, _ = parse_links(page)
+    return seen, blocks
+
+
+def parse_links(page: str) -> tuple[Counter, list[tuple[str, str, bool]], list[int]]:
+    """What `parse` gives, and how many characters of each block stand in links."""
     stack: list[tuple[str, str, bool]] = []  # tag, path, set aside
     seen: Counter = Counter()
     blocks: list[tuple[str, str, bool]] = []
+    links: list[int] = []
     text: list[str] = []
+    linked = 0
+    in_link = False
     place = ("", False)
 
     def close_block():
+        nonlocal linked, in_link
         if text:
             whole = SPACE.sub(" ", html.unescape("".join(text))).strip()
             if whole:
                 blocks.append((place[0], whole, place[1]))
+                links.append(linked)
             text.clear()
+        linked, in_link = 0, False
 
     def top():
         return (stack[-1][1], stack[-1][2]) if stack else ("", False)
@@ -91,6 +106,8 @@ def parse(page: str) -> tuple[Counter, list[tuple[str, str, bool]]]:
             break
         if found.start() > at:
             text.append(page[at : found.start()])
+            if in_link:
+                linked += found.start() - at
         at = found.end()
         tag = found.group(2)
         if tag is None:
@@ -98,6 +115,8 @@ def parse(page: str) -> tuple[Counter, list[tuple[str, str, bool]]]:
         tag = tag.lower()
         closing, attributes = found.group(1), found.group(3)
         if tag in INLINE:
+            if tag == "a":
+                in_link = not closing
             continue
         if closing:
             if tag in RAW:
@@ -133,7 +152,7 @@ def parse(page: str) -> tuple[Counter, list[tuple[str, str, bool]]]:
             stack.append((tag, path, aside))
         place = top()
     close_block()
-    return seen, blocks
+    return seen, blocks, links
 
 
 def host_of(url: str) -> Column:
@@ -146,106 +165,188 @@ def _tag(path: str) -> str:
     return path.rsplit("/", 1)[-1].split(".", 1)[0]
 
 
-def deduce(tokens: list[dict]) -> str | None:
-    """Path of the element that holds the main text of a host's pages.
+def valid_tokens(tokens: list[dict]) -> set[str]:
+    """Paths of the tokens whose classes are valid: once in each page of the class, in one
+    order, and nested, as all that is above them is valid as well."""
+    sound = {t["path"] for t in tokens if t["once"] and t["ordered"]}
+    return {p for p in sound if all(p[:i] in sound for i, c in enumerate(p) if c == "/")}
 
-    `tokens`: path, class_id, frame (stands once in each page), mass (varying text
-    directly in it) of the element tokens of one host that aren't set aside.
+
+def deduce(tokens: list[dict]) -> dict | None:
+    """The slots that hold the main text of a host's pages, `read`, the one with the most text
+    first, and the slots within those that don't, `skip`.
+
+    `tokens`: path, pages that have it, once and ordered (of its class), mass (varying text directly in it), links (how
+    much of that stands in links) and texts (how many different ones) of the element tokens of one host.
     """
-    frame = {t["path"] for t in tokens if t["frame"]}
-    # Valid members of the frame nest: all that is above them belongs to it as well.
-    frame = {p for p in frame if all(p[:i] in frame for i, c in enumerate(p) if c == "/")}
-    if not frame:
+    template = valid_tokens(tokens)
+    if not template:
         return None
-    slots: Counter = Counter()
+    pages = {t["path"]: t["pages"] for t in tokens}
+    slots: dict[str, list] = {}
     for t in tokens:
         path = t["path"]
-        while path and (path not in frame or _tag(path) in LEAVES):
+        while path and (path not in template or _tag(path) in LEAVES):
             path = path.rpartition("/")[0]
         if path:
-            slots[path] += t["mass"]
-    if not slots or max(slots.values()) == 0:
+            slot = slots.setdefault(path, [0, 0, 0.0])
+            slot[0] += t["mass"]
+            slot[1] += t["links"]
+            slot[2] = max(slot[2], t["texts"] / pages[path])
+    ranked = sorted((p for p in slots if slots[p][0] > 0), key=lambda p: (-slots[p][0], p))
+    if not ranked:
         return None
-    best = min(slots, key=lambda p: (-slots[p], p))
-    parts = best.split("/")
-    named = [i for i, p in enumerate(parts) if p.split(".")[0] in ("article", "main")]
-    return "/".join(parts[: named[0] + 1]) if named else best
+    # Lists of links, and what changes far less than the main text, are set aside.
+    ranked = [p for p in ranked if slots[p][1] * 2 < slots[p][0] or _named(p)] or ranked
+    varying = [p for p in ranked if slots[p][2] * 2 >= slots[ranked[0]][2]]
+    read = list(dict.fromkeys(_named(p) or p for p in varying))
+    inner = {p for p in template if _tag(p) not in LEAVES} - set(read)
+    skip = sorted(p for p in inner if any(p.startswith(r + "/") for r in read if not _named(r)))
+    return {"read": read, "skip": skip}
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, main) of pages (host, page, html): the path of the main slot of each host.
+def _named(path: str) -> str | None:
+    """The first article or main element of a path, if there is one."""
+    parts = path.split("/")
+    at = next((i for i, p in enumerate(parts) if p.split(".")[0] in ("article", "main")), None)
+    return None if at is None else "/".join(parts[: at + 1])
 
-    What is gathered is one row for each path of a host, with sums only.
-    """
+
+def occurrences(pages: DataFrame) -> DataFrame:
+    """A row for each path of each page (host, page, html): in which place it first stands, how
+    often, the hash and length of the text directly in it, and how much of that is links.
+    The empty path stands for the page."""
 
     def tokens(batch):
-        out: dict = {k: [] for k in ("host", "page", "path", "n", "text", "mass")}
+        out: dict = {k: [] for k in ("host", "page", "path", "at", "n", "text", "mass", "links")}
         for host, page, source in zip(
             batch.column("host").to_pylist(), batch.column("page").to_pylist(), batch.column("html").to_pylist(), strict=True
         ):
-            seen, blocks = parse(source)
-            # The text directly in each path, as one hash and its length.
+            seen, blocks, linked = parse_links(source)
             own: dict[str, list] = {}
-            for path, text, aside in blocks:
+            links: Counter = Counter()
+            for (path, text, aside), part in zip(blocks, linked, strict=True):
                 if not aside:
                     own.setdefault(path, []).append(text)
-            for path, n in seen.items():
-                texts = own.get(path, [])
+                    links[path] += part
+            for at, (path, n) in enumerate([("", 1), *seen.items()]):
+                texts = own.get(path, []) if path else []
                 out["host"].append(host)
                 out["page"].append(page)
                 out["path"].append(path)
+                out["at"].append(at)
                 out["n"].append(n)
-                out["text"].append(hash_of(texts))
+                out["text"].append(hash_of(texts) if texts else 0)
                 out["mass"].append(sum(map(len, texts)))
+                out["links"].append(links[path] if texts else 0)
         yield out
 
-    found = in_slices(pages, "host string, page long, path string, n long, text long, mass long", tokens)
-    # A page's share in the occurrence vector: 40 bits, so that sums keep within a long.
-    share = F.shiftrightunsigned(F.xxhash64("page", "n"), 24)
-    classes = found.groupBy("host", "path").agg(
-        F.count(F.lit(1)).alias("pages"),
-        F.sum("n").alias("times"),
-        F.sum(share).alias("vector"),
-        F.sum("mass").alias("all_mass"),
-        F.min("text").alias("low"),
-        F.max("text").alias("high"),
+    return in_slices(
+        pages, "host string, page long, path string, at int, n long, text long, mass long, links long", tokens
     )
-    held = shared_table(classes, "tokens")
-    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
-    framed = held.join(totals, "host").select(
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """(host, main) of pages (host, page, html): what `deduce` finds for each host, as JSON.
+
+    What is gathered is one row for each frequent path of a host, with sums only.
+    """
+    found = shared_table(occurrences(pages), "occurrences")
+    # The occurrence vector as sums of hashes of (page, times), 64 bits in two halves.
+    share = F.xxhash64("page", "n")
+    held = shared_table(
+        found.groupBy("host", "path").agg(
+            F.count(F.lit(1)).alias("pages"),
+            F.sum("n").alias("times"),
+            F.sum(F.shiftrightunsigned(share, 32)).alias("high_half"),
+            F.sum(share.bitwiseAND(0xFFFFFFFF)).alias("low_half"),
+            F.sum("mass").alias("all_mass"),
+            F.sum("links").alias("links"),
+            F.min("text").alias("low"),
+            F.max("text").alias("high"),
+            F.approx_count_distinct("text").alias("texts"),
+        ),
+        "tokens",
+    )
+    totals = held.where("path = ''").select("host", F.col("pages").alias("all_pages"))
+    paths = held.where("path <> ''").join(totals, "host").select(
         "host",
         "path",
-        F.concat_ws(":", "vector", "times").alias("class_id"),
-        # A page in fifty may lack an element, being cut off or odd.
-        ((F.col("times") == F.col("pages")) & (F.col("pages") * 50 >= F.col("all_pages") * 49)).alias("frame"),
+        F.concat_ws(":", "high_half", "low_half").alias("class"),
+        (F.col("times") == F.col("pages")).alias("once"),
+        ((F.col("pages") * SUPPORT >= F.col("all_pages")) & (F.col("pages") >= F.least("all_pages", F.lit(2)))).alias(
+            "frequent"
+        ),
         # Text that is the same on every page belongs to the template.
         F.when((F.col("low") == F.col("high")) & (F.col("pages") > 1), 0).otherwise(F.col("all_mass")).alias("mass"),
         "all_mass",
+        "links",
+        F.when(F.col("low") == F.col("high"), 0).otherwise(F.col("texts")).alias("texts"),
         "pages",
     )
-    # Paths seen on one page alone matter for hosts of one page only; what they hold is
-    # credited to the nearest path that is seen more often.
-    grouped = framed.groupBy("host").agg(F.max("pages").alias("most")).join(framed, "host").select(
-        "host",
-        F.when((F.col("pages") > 1) | (F.col("most") == 1) | F.col("frame"), F.col("path"))
-        .otherwise(F.regexp_replace("path", r"/[^/]*$", ""))
-        .alias("path"),
-        "class_id",
-        "frame",
-        "mass",
-        "all_mass",
+    # Members of a class under one element stand in one order on all pages, or none of them is
+    # valid; members under different elements are in the order of those.
+    above = F.regexp_replace("path", "/?[^/]*$", "")
+    siblings = (
+        paths.where("frequent AND once")
+        .groupBy("host", "class", above.alias("above"))
+        .agg(F.collect_list("path").alias("members"))
+        .where("size(members) > 1")
+        .select("host", "class", "above", F.explode("members").alias("path"))
+    )
+    unordered = (
+        found.select("host", "page", "path", "at")
+        .join(siblings, ["host", "path"])
+        .groupBy("host", "page", "class", "above")
+        .agg(F.sort_array(F.collect_set(F.struct("at", "path")))["path"].alias("order"))
+        .groupBy("host", "class", "above")
+        .agg(F.min(F.xxhash64("order")).alias("least"), F.max(F.xxhash64("order")).alias("most"))
+        .where("least <> most")
+        .select("host", "class", "above", F.lit(True).alias("mixed"))
     )
-    per_path = grouped.groupBy("host", "path").agg(
-        F.max("frame").alias("frame"),
-        F.max(F.when(F.col("frame"), F.col("class_id"))).alias("class_id"),
-        F.sum("mass").alias("mass"),
-        F.sum("all_mass").alias("all_mass"),
+    sums = ["pages", "mass", "all_mass", "links", "texts"]
+    checked = (
+        paths.where("frequent")
+        .withColumn("above", above)
+        .join(unordered, ["host", "class", "above"], "left")
+        .select("host", "path", "once", F.col("mixed").isNull().alias("ordered"), *sums)
+    )
+    # What paths of few pages hold is credited to the nearest frequent one above.
+    parts = F.split("path", "/")
+    rare = (
+        paths.where("NOT frequent AND all_mass > 0")
+        .withColumn("rare", F.col("path"))
+        .withColumn(
+            "path",
+            F.explode(
+                F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+            ),
+        )
+        .join(paths.where("frequent").select("host", "path"), ["host", "path"])
+        .groupBy("host", "rare")
+        .agg(F.max_by("path", F.length("path")).alias("path"), *(F.first(c).alias(c) for c in sums))
+        .withColumn("pages", F.lit(0))
+        .withColumn("texts", F.greatest("texts", F.lit(1)))
+        .select("host", "path", F.lit(False).alias("once"), F.lit(False).alias("ordered"), *sums)
+    )
+    per_path = (
+        checked.unionByName(rare)
+        .groupBy("host", "path")
+        .agg(
+            F.max("once").alias("once"),
+            F.max("ordered").alias("ordered"),
+            F.sum("mass").alias("mass"),
+            F.sum("all_mass").alias("all_mass"),
+            F.sum(F.when(F.col("mass") > 0, F.col("links")).otherwise(0)).alias("links"),
+            F.max("pages").alias("pages"),
+            F.sum("texts").alias("texts"),
+        )
     )
 
     def per_host(keys, group):
         rows = group.to_pylist()
         found = deduce(rows) or deduce([r | {"mass": r["all_mass"]} for r in rows])
-        return pa.table({"host": [keys[0].as_py()], "main": pa.array([found], pa.string())})
+        return pa.table({"host": [keys[0].as_py()], "main": pa.array([found and json.dumps(found)], pa.string())})
 
     return per_path.groupBy("host").applyInArrow(per_host, "host string, main string")
 
@@ -256,16 +357,34 @@ def hash_of(texts: list[str]) -> int:
     return xxhash.xxh3_64_intdigest("\n".join(texts)) >> 1
 
 
-def main_text(page: str, main: str | None) -> str:
-    """Blocks of the page that stand in the main slot and aren't set aside."""
+def main_text(page: str, main: dict | None) -> str:
+    """Blocks of the page that stand in its main slots and aren't set aside."""
     seen, blocks = parse(page)
-    if main is None or main not in seen:
-        named = [p for p in seen if _tag(p) in ("article", "main")]
-        main = min(named, key=len) if named else None
-    within = None if main is None else main + "/"
-    return " ".join(
-        text for path, text, aside in blocks if not aside and (within is None or path == main or path.startswith(within))
-    )
+    read = main["read"] if main else []
+    present = [p for p in read if p in seen]
+    first = present[0] if present else None
+    if first is None or first != read[0]:
+        # Another layout than that of the most text; an article or main element tells best.
+        own = min((p for p in seen if _tag(p) in ("article", "main")), key=len, default=None)
+        first = next((p for p in present if _named(p)), own or first)
+    if first is None:
+        return " ".join(text for _, text, aside in blocks if not aside)
+    whole = first + "/"
+    others = set() if _named(first) else set(present)
+    known = others | set(main["skip"]) if others else others
+    out = []
+    for path, text, aside in blocks:
+        if aside:
+            continue
+        if path != first and not path.startswith(whole):
+            if not others:
+                continue
+            while path and path not in known:
+                path = path.rpartition("/")[0]
+            if path not in others:
+                continue
+        out.append(text)
+    return " ".join(out)
 
 
 def extract(
@@ -273,8 +392,8 @@ def extract(
 ) -> DataFrame:
     """One row per page: page_id, url, text (empty if there is none).
 
-    Pages of one host share a template; addresses without a host are one host. A page
-    that lacks the template's main slot is read by its own article or main element, or
+    Pages of one host share a template, of which a page has the classes of its layout; addresses without
+    a host are one host. A page that lacks all main slots of the template is read by its own article or main element, or
     else whole, without menus and the like. Character references are decoded, white
     space within a block becomes one space, and blocks are joined by one space in the order of
     the page. Null pages are empty, repeated pages count as often as they stand there,
@@ -284,14 +403,15 @@ def extract(
         F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias("html")
     ).withColumn("host", host_of("url"))
     found = shared_table(
-        templates(pages.where("html <> ''").select("host", F.xxhash64("page_id", "url").alias("page"), "html")), "templates"
+        templates(pages.where("html <> ''").select("host", F.xxhash64("page_id", "url", "html").alias("page"), "html")), "templates"
     )
     joined = pages.join(found, "host", "left")
     kind = dict(pages.dtypes)["page_id"]
 
     def work(batch):
+        known = {m: m and json.loads(m) for m in batch.column("main").unique().to_pylist()}
         texts = [
-            main_text(p, m)
+            main_text(p, known[m])
             for p, m in zip(batch.column("html").to_pylist(), batch.column("main").to_pylist(), strict=True)
         ]
         yield {"page_id": batch.column("page_id"), "url": batch.column("url"), "text": texts}
