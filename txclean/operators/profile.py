@@ -35,6 +35,8 @@ def label_profile(df: DataFrame, col: str, sep: str = ";") -> DataFrame:
     return explode_labels(df, col, sep).groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
 
 
+#: Columns that one number tells apart.
+BITS = 63
 #: Hexadecimal digits that a histogram tells apart, and all digits of a row's place.
 DIGITS, ALL_DIGITS = 4, 8 + 64
 
@@ -203,21 +205,31 @@ def inclusion_dependencies(columns: Mapping[str, tuple[DataFrame, str]]) -> Data
     """Rows (included, within, values): every value of the one column stands in the other.
 
     `columns` maps names to (frame, column). All values meet in one grouping, as text, each with
-    the set of columns that hold it; from how often each set comes the pairs are counted. So
-    no column is compared with another. Nulls don't count; an empty column is in none.
+    the columns that hold it as bits of numbers, which tasks put together before the shuffle; from
+    how often each set comes the pairs are counted. So no column is compared with another.
+    Nulls don't count; an empty column is in none.
     """
+    words = [f"held_{n}" for n in range(-(-len(columns) // BITS))]
     values = reduce(
         DataFrame.unionByName,
         (
-            df.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("value"), F.lit(name).alias("name")).distinct()
-            for name, (df, col) in columns.items()
+            df.where(F.col(col).isNotNull()).select(
+                F.col(col).cast("string").alias("value"),
+                *(F.lit(1 << at % BITS if n == at // BITS else 0).cast("long").alias(w) for n, w in enumerate(words)),
+            )
+            for at, (df, col) in enumerate(columns.values())
         ),
     )
+    names = (
+        F.when(F.col(words[at // BITS]).bitwiseAND(F.lit(1 << at % BITS).cast("long")) != 0, F.lit(name))
+        for at, name in enumerate(columns)
+    )
     sets = (
         values.groupBy("value")
-        .agg(F.array_sort(F.collect_set("name")).alias("names"))
-        .groupBy("names")
+        .agg(*(F.bit_or(w).alias(w) for w in words))
+        .groupBy(*words)
         .agg(F.count(F.lit(1)).alias("held"))
+        .select(F.array_compact(F.array(*names)).alias("names"), "held")
     )
     pairs = (
         sets.select("names", "held", F.explode("names").alias("included"))
