@@ -36,6 +36,22 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+#: What tasks remember in a worker, which lives on: it is emptied when a task ends, or the
+#: memory of all operators that a worker has run would add up.
+_remembered: dict[int, dict] = {}
+
+
+def forgotten_after_task(cache: dict) -> dict:
+    """The cache itself, from now on emptied at the end of each task of `in_slices`."""
+    return _remembered.setdefault(id(cache), cache)
+
+
+def forget() -> None:
+    for cache in _remembered.values():
+        cache.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def in_slices(
     df: DataFrame,
     schema: str | StructType,
@@ -53,17 +69,20 @@ def in_slices(
     arrow = to_arrow_schema(types)
 
     def run(batches):
-        for batch in batches:
-            rows = max(1, batch.num_rows * slice_bytes // max(batch.nbytes, 1))
-            for start in range(0, batch.num_rows, rows):
-                for out in work(batch.slice(start, rows)):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            c if isinstance(c := out[f.name], pa.Array) else pa.array(c, f.type)
-                            for f in arrow
-                        ],
-                        schema=arrow,
-                    )
+        try:
+            for batch in batches:
+                rows = max(1, batch.num_rows * slice_bytes // max(batch.nbytes, 1))
+                for start in range(0, batch.num_rows, rows):
+                    for out in work(batch.slice(start, rows)):
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                c if isinstance(c := out[f.name], pa.Array) else pa.array(c, f.type)
+                                for f in arrow
+                            ],
+                            schema=arrow,
+                        )
+        finally:
+            forget()
 
     return df.mapInArrow(run, types)
 

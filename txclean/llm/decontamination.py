@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txclean.llm.common import narrow, text_of, unused, with_columns_by_slice
+from txclean.llm.common import forgotten_after_task, narrow, text_of, unused, with_columns_by_slice
 from txclean.shared import shared_table
 
 WORD = re.compile(r"[^\W_]+")
@@ -28,7 +28,7 @@ OVERLAP, SIMILARITY = 15, 0.8
 #: Words of the benchmark that are looked for in one pass over the documents.
 PASS_WORDS = 2_000_000
 REMEMBERED = 500_000
-_hashes: dict[str, int] = {}
+_hashes: dict[str, int] = forgotten_after_task({})
 
 
 def words_of(text: str) -> list[str]:

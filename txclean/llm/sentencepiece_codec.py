@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txclean.llm.common import in_slices, narrow, text_of
+from txclean.llm.common import forgotten_after_task, in_slices, narrow, text_of
 
 MARK = "▁"
 #: Remembered stretches of a worker before it starts afresh.
@@ -236,7 +236,9 @@ class Codec:
 
 @lru_cache(maxsize=4)
 def codec(path: str) -> Codec:
-    return Codec(path)
+    made = Codec(path)
+    forgotten_after_task(made.known)
+    return made
 
 
 COLUMNS = {

@@ -33,7 +33,10 @@ COST, OTHERS = 3000.0, 4.0
 #: Triples are told apart by so many bits of a hash.
 BITS = 20
 #: Remembered words of a worker before it starts afresh.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
+
+#: Words that are valued at a time; each takes some kilobytes of triples.
+VALUED = 2_000
 
 BREAK = re.compile(r"(?<=[.!?])\s+|\n+")
 SPELT = re.compile(r"(?:(?<=\s)|^)(?:[^\W\d_]\W*\s+){2}[^\W\d_](?=\W*(?:\s|$))")
@@ -156,9 +159,9 @@ class Model:
 
     def values(self, words: list[str]) -> np.ndarray:
         parts = [np.zeros(0)]
-        for n in range(0, len(words), 20_000):
-            word, triple, weight = triples(words[n : n + 20_000])
-            size = min(20_000, len(words) - n)
+        for n in range(0, len(words), VALUED):
+            word, triple, weight = triples(words[n : n + VALUED])
+            size = min(VALUED, len(words) - n)
             parts.append(np.bincount(word, self.by_triple[triple] * weight, minlength=size))
         return np.concatenate(parts) + self.bias
 
